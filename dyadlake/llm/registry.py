@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .packing import op7_packing
+from .pii import op3_pii
 from .token_counts import op4_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_pii": op3_pii,
         "op4_token_counts": op4_token_counts,
         "op7_packing": op7_packing,
     }
