@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .near_dedup import op1_near_dedup
 from .packing import op7_packing
 from .pii import op3_pii
 from .token_counts import op4_token_counts
@@ -13,6 +14,7 @@ from .token_counts import op4_token_counts
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_dedup": op1_near_dedup,
         "op3_pii": op3_pii,
         "op4_token_counts": op4_token_counts,
         "op7_packing": op7_packing,
