@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from dyadlake.llm.packing import VOCABULARY, Packer, pack
+from dyadlake.llm.packing import VOCABULARY, Encoder, Packer, pack
 
 from helpers import AWKWARD, frame
 
@@ -61,3 +61,13 @@ def test_windows_are_full_and_steps_balanced():
 
 def test_empty_table(spark):
     assert pack(frame(spark, AWKWARD[:1]).limit(0), PATH).collect() == []
+
+
+def test_ids_are_the_librarys():
+    whole, encode = Tokenizer.from_file(PATH), Encoder(PATH)
+    rng = random.Random(9)
+    parts = ["word", " ", "  ", "\n", "\t ", "don't", "'S", "été", "漢字", "12345", "½", "!?", "<|endoftext|>", "\x1c", "\u00a0", "\u3000", "\U0001f600", "\u0301", "_", "<|end", "\x85"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    texts += ["a b " * 60_000, "x" * 150_000, " " * 120_000 + "y", "ab\n  " * 50_000]
+    for text in texts:
+        assert encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:80]
