@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .near_dedup import op1_near_dedup
 from .packing import op7_packing
 from .pii import op3_pii
+from .substring import op5_substring_dedup
 from .token_counts import op4_token_counts
 
 
@@ -17,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_near_dedup": op1_near_dedup,
         "op3_pii": op3_pii,
         "op4_token_counts": op4_token_counts,
+        "op5_substring_dedup": op5_substring_dedup,
         "op7_packing": op7_packing,
     }
 
