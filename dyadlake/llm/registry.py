@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
 from .packing import op7_packing
 from .pii import op3_pii
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pii": op3_pii,
         "op4_token_counts": op4_token_counts,
         "op5_substring_dedup": op5_substring_dedup,
+        "op6_mixing": op6_mixing,
         "op7_packing": op7_packing,
     }
 
