@@ -10,15 +10,16 @@
    once for every way to leave ``ERRORS`` symbols out, so every such pair meets
    in a bucket.  (At similarity 0.75 a pair misses all buckets with probability
    1.2e-4, and less above.)
-3. Inside a bucket, signatures are compared in vectorised blocks.  A pair is
-   passed on once, by the first bucket it meets in, when its set sizes allow
-   the similarity and its whole signatures differ in at most ``MAX_WRONG``
-   symbols.  Buckets above ``BLOCK`` members are dealt as pairs of blocks, so
-   that no task holds one whole and none is capped.
-4. Links are confirmed on full shingle sets.  Confirmation runs closest pairs
-   first: each round confirms every class's closest open pair, and pairs whose
-   classes are connected already need no confirmation; the last round confirms
-   all that is still open.
+3. Inside a bucket, signatures are compared in vectorised rows, and the bucket
+   passes on a spanning forest of its near pairs: those whose set sizes allow
+   the similarity and whose whole signatures differ in at most ``MAX_WRONG``
+   symbols.  The union of the forests gives coarse clusters that hold every
+   near pair, from a number of links linear in the bucket's rows.
+4. Links are confirmed on full shingle sets inside each coarse cluster, closest
+   pairs first, and only between members not yet connected.  What leaves a task
+   is again a forest of confirmed links.  Buckets above ``BLOCK`` members and
+   clusters above ``CLUSTER`` members or ``CLUSTER_SHINGLES`` shingles are dealt
+   as pairs of blocks, so that no task holds one whole and none is capped.
 5. Distributed union-find labels the components.
 
 Null, empty and word-less texts have no set, link with nothing and stay.  Texts
@@ -48,7 +49,8 @@ CHUNKS, WIDTH, ERRORS = 9, 5, 1
 #: Wrong symbols of 96 up to which a pair is confirmed on full sets: 4.2 standard deviations above 24, the mean at 0.75.
 MAX_WRONG = 42
 BLOCK = 2048
-ROUNDS = 2
+CLUSTER = 512
+CLUSTER_SHINGLES = 1_000_000
 
 _FACTORS = np.random.default_rng(20240301).integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -119,82 +121,99 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(slots), pa.array(nodes)], names=["key", "slot", "node"])
 
 
-def _bucket_pairs(group, side_a, side_b, slot, node, size, sig) -> Iterator[tuple[np.ndarray, ...]]:
-    """Pairs of rows of one group (rows sorted by group), block by block."""
-    n, step = len(group), 1
-    live = np.arange(n - 1) if n else np.empty(0, int)
-    while len(live):
-        live = live[live + step < n]
-        live = live[group[live] == group[live + step]]
-        for at in range(0, len(live), 20_000):
-            i = live[at : at + 20_000]
-            j = i + step
-            # in a group of two blocks, a pair belongs to it when its sides are the group's two
-            ok = (side_a[i] != side_b[i]) <= (side_a[j] != side_a[i])
-            ok &= 100 * np.minimum(size[i], size[j]) >= SIMILARITY * np.maximum(size[i], size[j])
-            i, j = i[ok], j[ok]
-            wrong = sig[i] != sig[j]
-            total = wrong.sum(axis=1)
-            near = total <= MAX_WRONG
-            i, j, wrong, total = i[near], j[near], wrong[near], total[near]
-            if not len(i):
-                continue
-            by_chunk = wrong[:, : CHUNKS * WIDTH].reshape(-1, CHUNKS, WIDTH)
-            chunk = (by_chunk.sum(axis=2) <= ERRORS).argmax(axis=1)
-            first = chunk * WIDTH + by_chunk[np.arange(len(i)), chunk].argmax(axis=1)
-            own = first == slot[i]
-            yield np.minimum(node[i], node[j])[own], np.maximum(node[i], node[j])[own], total[own]
-        step += 1
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Input sorted by (key, slot, lo, hi); the last group of a batch waits for the next."""
-    held: pa.Table | None = None
-
-    def pairs_of(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        column = lambda c: t.column(c).to_numpy()
-        key, slot, lo, hi = column("key"), column("slot"), column("lo"), column("hi")
-        change = (key[1:] != key[:-1]) | (slot[1:] != slot[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-        group = np.concatenate(([0], np.cumsum(change)))
-        sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), "<u2").reshape(-1, SYMBOLS)
-        side = column("side")
-        other = np.where(lo == hi, side, np.where(side == lo, hi, lo))
-        for a, b, wrong in _bucket_pairs(group, side, other, slot, column("node"), column("n_shingles"), sig):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(wrong.astype(np.int32))], names=["a", "b", "wrong"])
+def _near(sig: np.ndarray, size: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
+    """Wrong symbols between a row and others, past the limit where the sizes rule the pair out."""
+    wrong = np.count_nonzero(sig[others] != sig[one], axis=1)
+    small, large = np.minimum(size[others], size[one]), np.maximum(size[others], size[one])
+    return np.where(100 * small >= SIMILARITY * large, wrong, SYMBOLS + 1)
 
-    for batch in batches:
-        t = pa.Table.from_batches([batch])
-        if not t.num_rows:
-            continue
-        t = pa.concat_tables([held, t]) if held is not None else t
-        names = ("key", "slot", "lo", "hi")
-        same = np.ones(t.num_rows, bool)
-        for c in names:
-            x = t.column(c).to_numpy()
-            same &= x == x[-1]
-        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-        held = t.slice(cut).combine_chunks()
-        if cut:
-            yield from pairs_of(t.slice(0, cut))
-    if held is not None:
-        yield from pairs_of(held)
-
-
-def candidate_pairs(classes: DataFrame) -> DataFrame:
-    """(a, b, wrong) of classes (node, n_shingles, signature) that may reach the similarity."""
+
+def _forest(sig: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows grouped by near pairs: (row, rows it reaches), every row reached once."""
+    left = np.arange(len(sig))
+    while len(left) > 1:
+        wave, left = [left[0]], left[1:]
+        while wave and len(left):
+            one = wave.pop()
+            hit = _near(sig, size, one, left) <= MAX_WRONG
+            if hit.any():
+                yield one, left[hit]
+                wave += left[hit].tolist()
+                left = left[~hit]
+
+
+def _grouped(names: tuple[str, ...], act):
+    """A map over batches sorted by ``names`` that hands whole groups to ``act(table, starts, ends)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            change = np.zeros(t.num_rows - 1, bool)
+            for c in names:
+                x = t.column(c).to_numpy()
+                change |= x[1:] != x[:-1]
+            starts = np.concatenate(([0], np.flatnonzero(change) + 1))
+            held = t.slice(int(starts[-1])).combine_chunks()
+            if len(starts) > 1:
+                yield from act(t.slice(0, int(starts[-1])), starts[:-1], starts[1:])
+        if held is not None:
+            yield from act(held, np.array([0]), np.array([held.num_rows]))
+
+    return run
+
+
+def _signatures(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column("signature").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+
+
+def _links(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in zip(*pairs)) if pairs else (np.empty(0, np.int64),) * 2
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _bucket_links(t: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+    node, size, sig, out = t.column("node").to_numpy(), t.column("n_shingles").to_numpy(), _signatures(t), []
+    two = starts[ends - starts == 2]
+    for at in range(0, len(two), 20_000):
+        i = two[at : at + 20_000]
+        ok = 100 * np.minimum(size[i], size[i + 1]) >= SIMILARITY * np.maximum(size[i], size[i + 1])
+        i = i[ok]
+        i = i[np.count_nonzero(sig[i] != sig[i + 1], axis=1) <= MAX_WRONG]
+        out.append((node[i], node[i + 1]))
+    for s, e in zip(starts, ends):
+        if e - s > 2:
+            for one, reached in _forest(sig[s:e], size[s:e]):
+                out.append((np.full(len(reached), node[s + one]), node[s + reached]))
+    yield _links(out)
+
+
+def near_links(classes: DataFrame) -> DataFrame:
+    """(a, b): forests over the buckets that connect every near pair of (node, n_shingles, signature) rows."""
     keyed = classes.select("node", "signature").mapInArrow(_keys, "key long, slot byte, node long")
     shared = keyed.groupBy("key", "slot").agg(F.count("*").alias("members"), F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
     met = materialize(keyed.join(shared.select("key", "slot", "members"), ["key", "slot"]), "near-buckets")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = (
-        met.withColumn("side", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", "slot", "node", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+    return (
+        _dealt(met, F.ceil(F.col("members") / BLOCK), "node", ["key", "slot"])
         .join(classes, "node")
         .repartition("key", "slot", "lo", "hi")
-        .sortWithinPartitions("key", "slot", "lo", "hi")
+        .sortWithinPartitions("key", "slot", "lo", "hi", "node")
+        .mapInArrow(_grouped(("key", "slot", "lo", "hi"), _bucket_links), "a long, b long")
+        .distinct()
+    )
+
+
+def _dealt(rows: DataFrame, blocks, node: str, group: list[str]) -> DataFrame:
+    """Each row once for every pair of its group's blocks that holds its own: (group, node, side, lo, hi)."""
+    blocks = blocks.cast("int")
+    return (
+        rows.withColumn("side", F.pmod(F.xxhash64(node), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select(*group, node, "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
     )
-    return dealt.mapInArrow(_pairs, "a long, b long, wrong int")
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,19 +227,55 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    common = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return (
-        pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-        .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-        .select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb")).alias("both"))
-        .where(100 * F.col("common") >= similarity * (F.col("both") - F.col("common")))
-        .select("a", "b")
-    )
+def _alike(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    common = int(np.count_nonzero(y[at] == x))
+    return 100 * common >= similarity * (len(x) + len(y) - common)
+
+
+def _confirm(similarity: int):
+    def act(t: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        node, size, sig, side = t.column("node").to_numpy(), t.column("n_shingles").to_numpy(), _signatures(t), t.column("side").to_numpy()
+        lo, hi = t.column("lo").to_numpy(), t.column("hi").to_numpy()
+        lists = t.column("shingles").combine_chunks()
+        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+        out = []
+        for s, e in zip(starts.tolist(), ends.tolist()):
+            tried = []
+            for one in range(s, e - 1):
+                others = np.arange(one + 1, e)
+                if lo[s] != hi[s]:
+                    others = others[side[others] != side[one]]
+                wrong = _near(sig, size, one, others)
+                ok = wrong <= MAX_WRONG
+                tried.append((wrong[ok], np.full(int(ok.sum()), one), others[ok]))
+            if not tried:
+                continue
+            wrong, left, right = map(np.concatenate, zip(*tried))
+            root = list(range(e - s))
+
+            def find(x: int) -> int:
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            for k in np.argsort(wrong, kind="stable"):
+                i, j = int(left[k]), int(right[k])
+                x, y = find(i - s), find(j - s)
+                if x != y and _alike(values[offsets[i] : offsets[i + 1]], values[offsets[j] : offsets[j + 1]], similarity):
+                    root[max(x, y)] = min(x, y)
+                    out.append((node[i : i + 1], node[j : j + 1]))
+        yield _links(out)
 
+    return act
 
-def near_dedup(docs: DataFrame, similarity: int = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
-    """(row, doc_id, n_shingles, component_id, kept, first): ``first`` marks one row of each component."""
+
+def near_dedup(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """(row, doc_id, n_shingles, component_id, kept); ``row`` tells rows of the same id apart."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = materialize(source.mapInArrow(_describe, "row long, doc_id long, n_shingles long, name binary, signature binary"), "near-described")
     classes = materialize(
@@ -230,37 +285,25 @@ def near_dedup(docs: DataFrame, similarity: int = SIMILARITY, rounds: int = ROUN
         .select("name", F.col("head.row").alias("node"), F.col("head.doc_id").alias("head_id"), "n_shingles", "signature"),
         "near-classes",
     )
-    pairs = materialize(candidate_pairs(classes.select("node", "n_shingles", "signature")), "near-pairs")
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialize(classes.join(ends, "node").select("node", "name", "head_id"), "near-wanted")
-    sets = materialize(
-        source.join(wanted, source["doc_id"].eqNullSafe(wanted["head_id"])).select("node", "name", "text").mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]),
-        "near-sets",
+    near = components(near_links(classes.select("node", "n_shingles", "signature")), "a", "b")
+    wanted = materialize(near.join(classes, "node"), "near-wanted")
+    sets = (
+        source.join(wanted.select("node", "name", "head_id"), source["doc_id"].eqNullSafe(F.col("head_id")))
+        .select("node", "name", "text")
+        .mapInArrow(_sets, "node long, shingles array<long>")
+        .dropDuplicates(["node"])
+    )
+    clusters = wanted.groupBy("root").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles_in"))
+    blocks = F.ceil(F.greatest(F.col("members") / CLUSTER, F.col("shingles_in") / CLUSTER_SHINGLES))
+    links = (
+        _dealt(wanted.select("node", "root").join(clusters, "root"), blocks, "node", ["root"])
+        .join(wanted.select("node", "n_shingles", "signature"), "node")
+        .join(sets, "node")
+        .repartition("root", "lo", "hi")
+        .sortWithinPartitions("root", "lo", "hi", "node")
+        .mapInArrow(_grouped(("root", "lo", "hi"), _confirm(similarity)), "a long, b long")
     )
-    links, open_pairs = None, pairs
-    for k in range(rounds + 1):
-        if k < rounds:
-            closest = (
-                open_pairs.select(F.col("a").alias("node"), "wrong", "a", "b")
-                .unionByName(open_pairs.select(F.col("b").alias("node"), "wrong", "a", "b"))
-                .groupBy("node")
-                .agg(F.min(F.struct("wrong", "a", "b")).alias("p"))
-            )
-            turn = materialize(closest.select("p.a", "p.b").distinct(), "near-turn")
-        else:
-            turn = open_pairs.select("a", "b")
-        found = materialize(_confirm(turn, sets, similarity), "near-links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links, "a", "b")
-        if k < rounds:
-            open_pairs = materialize(
-                open_pairs.join(turn, ["a", "b"], "left_anti")
-                .join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
-                .join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-                .where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-                .select("a", "b", "wrong"),
-                "near-open",
-            )
+    roots = components(links, "a", "b")
     rooted = materialize(
         classes.select("node", "name", "head_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "near-roots"
     )

@@ -58,22 +58,34 @@ def test_awkward_rows_and_empty_table(spark):
 
 
 def test_every_pair_under_the_distance_meets(spark, monkeypatch):
-    """The pigeonhole guarantee, with buckets dealt as pairs of small blocks."""
+    """The pigeonhole guarantee, with buckets dealt as pairs of small blocks: near pairs end in one cluster."""
     monkeypatch.setattr(nd, "BLOCK", 7)
     rng = np.random.default_rng(2)
-    base = rng.integers(0, 1 << 16, nd.SYMBOLS).astype("<u2")
     sigs = []
-    for _ in range(60):
-        s = base.copy()
-        at = rng.permutation(nd.SYMBOLS)[: rng.integers(0, 14)]
-        s[at] = rng.integers(0, 1 << 16, len(at))
-        sigs.append(s)
-    rows = [(k, 100, s.tobytes()) for k, s in enumerate(sigs)]
-    df = spark.createDataFrame([(a, b, bytearray(c)) for a, b, c in rows], "node long, n_shingles long, signature binary")
-    got = [(r.a, r.b) for r in nd.candidate_pairs(df).collect()]
+    for _ in range(4):
+        base = rng.integers(0, 1 << 16, nd.SYMBOLS).astype("<u2")
+        for _ in range(30):
+            s = base.copy()
+            at = rng.permutation(nd.SYMBOLS)[: rng.integers(0, 28)]
+            s[at] = rng.integers(0, 1 << 16, len(at))
+            sigs.append(s)
+    df = spark.createDataFrame([(k, 100, bytearray(s.tobytes())) for k, s in enumerate(sigs)], "node long, n_shingles long, signature binary")
+    links = nd.near_links(df)
+    near = {(r.a, r.b) for r in links.collect()}
+    assert all((sigs[a] != sigs[b]).sum() <= nd.MAX_WRONG for a, b in near)
+    root = {r.node: r.root for r in components(links, "a", "b").collect()}
     index = nd.CHUNKS * nd.WIDTH
-    must = {(a, b) for a, b in combinations(range(60), 2) if (sigs[a][:index] != sigs[b][:index]).sum() < nd.CHUNKS * (nd.ERRORS + 1) and (sigs[a] != sigs[b]).sum() <= nd.MAX_WRONG}
-    assert len(got) == len(set(got)) and must <= set(got)
+    for a, b in combinations(range(len(sigs)), 2):
+        if (sigs[a][:index] != sigs[b][:index]).sum() < nd.CHUNKS * (nd.ERRORS + 1) and (sigs[a] != sigs[b]).sum() <= nd.MAX_WRONG:
+            assert root[a] == root[b]
+
+
+def test_clusters_dealt_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "CLUSTER", 6)
+    monkeypatch.setattr(nd, "BLOCK", 9)
+    rows = corpus(seed=7, groups=5, singles=10)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_dedup(frame(spark, rows)).collect()}
+    assert got == brute(rows)
 
 
 def test_components_of_chains_and_stars(spark):
