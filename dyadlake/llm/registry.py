@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .line_dedup import op8_line_dedup
 from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
 from .packing import op7_packing
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_substring_dedup": op5_substring_dedup,
         "op6_mixing": op6_mixing,
         "op7_packing": op7_packing,
+        "op8_line_dedup": op8_line_dedup,
     }
 
 
