@@ -11,6 +11,8 @@ from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
 from .packing import op7_packing
 from .pii import op3_pii
+from .quality_model import op9_quality_classifier
+from .quality_rules import op10_quality_rules
 from .substring import op5_substring_dedup
 from .token_counts import op4_token_counts
 
@@ -24,6 +26,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_mixing": op6_mixing,
         "op7_packing": op7_packing,
         "op8_line_dedup": op8_line_dedup,
+        "op9_quality_classifier": op9_quality_classifier,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 
