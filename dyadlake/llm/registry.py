@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op2_nearest_neighbours
 from .line_dedup import op8_line_dedup
 from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
@@ -20,6 +21,7 @@ from .token_counts import op4_token_counts
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
+        "op2_nearest_neighbours": op2_nearest_neighbours,
         "op3_pii": op3_pii,
         "op4_token_counts": op4_token_counts,
         "op5_substring_dedup": op5_substring_dedup,
