@@ -31,6 +31,7 @@ EPOCHS = 3
 BLOCK = 256
 SHARD = 500_000
 SEED = 20240601
+_LAST = (1 << 63) - 1
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -122,5 +123,25 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int
     )
 
 
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """``docs`` as the mix takes them: a row for every whole pass over a document, and one cut behind its last taken word.
+
+    Rows repeated in full share what the mix takes of them evenly; documents of which it takes nothing go.
+    """
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    shares = (
+        mix_sources(docs, weights, epochs, block, seed)
+        .groupBy(F.coalesce("doc_id", F.lit(_LAST)).alias("__id"), F.col("size").alias("__size"))
+        .agg(F.floor(F.sum("taken") / F.count("*")).alias("__taken"))
+        .where("__taken > 0")
+    )
+    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("__size", size)
+    copies = keyed.join(shares, ["__id", "__size"]).withColumn("__pass", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")))))
+    left = F.least(F.col("__size"), F.col("__taken") - (F.col("__pass") - 1) * F.col("__size")).cast("int")
+    cut = F.array_join(F.slice(F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), left), "")
+    text = F.when(left < F.col("__size"), cut).otherwise(F.col("text"))
+    return copies.withColumn("text", text).select(*docs.columns)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).drop("row")

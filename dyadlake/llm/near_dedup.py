@@ -316,5 +316,17 @@ def near_dedup(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     return firsts.select("row", "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """``docs`` with one document, the one of the smallest id, of each component; rows without an id always stay."""
+    judged = materialize(near_dedup(docs, similarity).select("doc_id", "kept"), "near-judged")
+    gone = judged.where("not kept and doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    again = materialize(judged.where("doc_id is not null").groupBy(F.col("doc_id").alias("__gone")).count().where("count > 1").select("__gone"), "near-again")
+    if again.isEmpty():
+        return left
+    same = F.col("doc_id").cast("long") == F.col("__gone")
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir)).drop("row")

@@ -161,6 +161,17 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def keep_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """The rows of ``docs``, with all columns, that the classifier does not reject."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([doc_features(t.as_py()) for t in batch.column("text")]).reshape(-1, DOC_FEATURES)
+            yield batch.filter(pa.array(model.score(x) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return score_quality(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
