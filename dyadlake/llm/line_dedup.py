@@ -1,15 +1,15 @@
 """Line dedup (operator 8, native): fuzzy lines by MinHash.
 
 1. A line of ``MIN_CHARS`` or more code points (lower-cased, trimmed) becomes the
-   set of its character shingles: ``SHINGLE`` characters from every anchor.
-   Anchors are word starts, whatever follows a character that is no Latin letter
-   or digit, and every place deeper than 24 characters into one long token, so
-   scripts without spaces and encoded data have shingles throughout.
-2. One aggregation gives each line ``BANDS * ROWS`` minima; hashes are permuted
-   by exclusive-or with fixed masks.  Equal lines are one class from here on.
-3. High-recall banding: ``ROWS`` minima a band.  At similarity 0.85 a pair misses
-   all bands with probability 5e-4.  A band's rows meet its smallest member
-   only, so links are linear in rows; their components are coarse clusters.
+   set of its character shingles: ``SHINGLE`` characters from the start of each
+   space-separated token, running on into the next one, and the successive
+   pieces of tokens longer than that, so that every character counts.
+2. Shingles are hashed once; a signature is the ``ROWS`` smallest hashes in each
+   of ``BANDS`` equal ranges of the hash space (one-permutation MinHash).
+3. High-recall banding: each range is a band.  At similarity 0.85 a pair misses
+   all bands with probability 5e-4, short lines less.  Equal lines are one node.
+   A band's rows meet its smallest member only, so links are linear in rows;
+   their components are coarse clusters.
 4. Exact Jaccard verification inside the clusters, which are dealt in blocks of
    ``BLOCK`` members: a member meets a block as a whole and gives its smallest
    and largest match of another component.  Members with further matches in a
@@ -26,8 +26,6 @@ are not read, and pass through ``drop_duplicate_lines``.
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,9 +38,9 @@ SHINGLE = 12
 BANDS, ROWS = 8, 3
 BLOCK = 128
 
-_ANCHORED = rf"(?s)(?:(?<![a-zß-öø-ÿ0-9])|(?<=[^ ]{{24}}))(?=([^ ].{{0,{SHINGLE - 1}}}))"
-_MASKS = [random.Random(k).getrandbits(63) for k in range(BANDS * ROWS)]
 _LAST = (1 << 63) - 1
+#: More tokens than a line can have; sums with it stay within 32 bits.
+_MOST = 1 << 30
 
 
 def _norm(line: Column) -> Column:
@@ -50,7 +48,12 @@ def _norm(line: Column) -> Column:
 
 
 def _shingles(norm: Column) -> Column:
-    return F.regexp_extract_all(norm, F.lit(_ANCHORED), F.lit(1))
+    """Hashes of a line's shingles, repeats included."""
+    tokens = F.split(norm, " ")
+    after = F.concat(F.slice(tokens, 2, _MOST), F.array(F.lit("")))
+    runs = F.zip_with(tokens, after, lambda x, y: F.xxhash64(F.left(F.concat(x, F.lit(" "), y), F.lit(SHINGLE))))
+    pieces = lambda x: F.transform(F.regexp_extract_all(x, F.lit(f"(?s).{{1,{SHINGLE}}}"), F.lit(0)), lambda p: F.xxhash64(p))
+    return F.concat(runs, F.flatten(F.transform(F.filter(tokens, lambda x: F.char_length(x) > SHINGLE), pieces)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -63,20 +66,24 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def _bands(hashes: Column) -> list[Column]:
+    bits = BANDS.bit_length() - 1
+    part = lambda b: F.filter(hashes, lambda h: F.shiftrightunsigned(h, 64 - bits) == b)
+    lowest = lambda b: F.slice(F.sort_array(F.array_distinct(part(b))), 1, ROWS)
+    return [F.when(F.size(lowest(b)) > 0, F.xxhash64(F.lit(b), lowest(b))) for b in range(BANDS)]
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc, line_no, h1, h2, bands): bands is null for lines that always stay."""
-    fit = F.when(F.char_length("norm") >= MIN_CHARS, _shingles(F.col("norm")))
-    hashed = _lines(docs).select("doc", "line_no", "h1", "h2", F.explode_outer(fit).alias("s")).select("doc", "line_no", "h1", "h2", F.when(F.col("s").isNotNull(), F.xxhash64("s")).alias("h"))
-    least = hashed.groupBy("doc", "line_no", "h1", "h2").agg(*(F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_MASKS)))
-    bands = F.array(*(F.xxhash64(*(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
-    return least.select("doc", "line_no", "h1", "h2", F.when(F.col("m0").isNotNull(), bands).alias("bands"))
-
-
-def _clusters(classes: DataFrame) -> DataFrame:
-    """(node, root): components of the links between a band's members and its smallest."""
-    keyed = classes.select("node", F.posexplode("bands").alias("band", "key"))
-    heads = keyed.groupBy("band", "key").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
-    links = keyed.join(heads.drop("tail"), ["band", "key"]).where("node <> head").select("head", "node").distinct()
+    """(doc, line_no, h1, h2, bands), in one map over the texts: bands is null for lines that always stay, a band null for an empty range."""
+    hashed = _lines(docs).select("doc", "line_no", "h1", "h2", F.when(F.char_length("norm") >= MIN_CHARS, _shingles(F.col("norm"))).alias("hashes"))
+    return hashed.select("doc", "line_no", "h1", "h2", F.when(F.col("hashes").isNotNull(), F.array(*_bands(F.col("hashes")))).alias("bands"))
+
+
+def _clusters(signed: DataFrame) -> DataFrame:
+    """(node, root): components of the links between a band's members and its smallest; a line's node is its first hash."""
+    keyed = signed.select(F.col("h1").alias("node"), F.posexplode("bands").alias("band", "key")).where("key is not null")
+    heads = keyed.groupBy("key", "band").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
+    links = keyed.join(heads.drop("tail"), ["key", "band"]).where("node <> head").select("head", "node").distinct()
     return components(links, "head", "node")
 
 
@@ -118,30 +125,34 @@ def _confirmed(members: DataFrame, similarity: int) -> DataFrame:
 def duplicate_lines(docs: DataFrame, similarity: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(all lines: doc, line_no, h1, h2; those to remove: doc, line_no, h1)."""
     signed = materialize(signatures(docs), "line-signatures")
-    classes = materialize(
-        signed.where(F.col("bands").isNotNull())
-        .groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc", "line_no")).alias("place"), F.first("bands").alias("bands"))
-        .select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "place", "bands"),
-        "line-classes",
+    fit = signed.where(F.col("bands").isNotNull())
+    clusters = _clusters(fit)
+    # names of two hashes: a node stands for the smallest of them, and only that one can be removed
+    places = fit.groupBy("h1", "h2").agg(F.min("doc").alias("doc"), F.count("*").alias("copies"))
+    places = materialize(places, "line-places")
+    wanted = materialize(
+        clusters.join(places.groupBy(F.col("h1").alias("node")).agg(F.min("h2").alias("h2")), "node")
+        .select("node", "root", F.col("node").alias("h1"), "h2")
+        .join(places.drop("copies"), ["h1", "h2"]),
+        "line-wanted",
     )
-    clusters = _clusters(classes)
-    wanted = materialize(clusters.join(classes, "node").select("node", "root", F.col("place.doc").alias("doc"), F.col("place.line_no").alias("line_no"), "h1", "h2"), "line-wanted")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("doc", F.coalesce("doc_id", F.lit(_LAST)))
     texts = _lines(source.join(wanted.select("doc").distinct(), "doc", "left_semi"))
     members = (
-        texts.join(wanted, ["doc", "line_no", "h1", "h2"])
-        .select("root", "node", F.array_distinct(F.transform(_shingles(F.col("norm")), lambda s: F.xxhash64(s))).alias("shingles"))
+        texts.join(wanted, ["doc", "h1", "h2"])
+        .select("root", "node", F.array_distinct(_shingles(F.col("norm"))).alias("shingles"))
         .dropDuplicates(["node"])
     )
     roots = components(_confirmed(members, similarity), "a", "b")
-    named = classes.select("node", "h1", "h2", "place").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    firsts = named.groupBy("root").agg(F.min("place").alias("keep"))
-    keeps = materialize(named.join(firsts, "root").select("h1", "h2", F.col("keep.doc").alias("kd"), F.col("keep.line_no").alias("kl")), "line-keeps")
+    # groups of different lines, and copies of the same one
+    same = places.where("copies > 1").select("h1", "h2")
+    grouped = roots.join(wanted.select("node", "h1", "h2"), "node").select("h1", "h2", "root")
+    names = materialize(same.join(grouped, ["h1", "h2"], "full").select("h1", "h2", F.coalesce("root", "h1").alias("root")), "line-names")
+    lines = materialize(fit.select("doc", "line_no", "h1", "h2").join(names, ["h1", "h2"]), "line-groups")
+    firsts = lines.groupBy("root", "h2").agg(F.min(F.struct("doc", "line_no")).alias("at")).groupBy("root").agg(F.min("at").alias("at"))
     removed = (
-        signed.where(F.col("bands").isNotNull())
-        .join(keeps, ["h1", "h2"])
-        .where((F.col("doc") != F.col("kd")) | (F.col("line_no") != F.col("kl")))
+        lines.join(firsts, "root")
+        .where((F.col("doc") != F.col("at.doc")) | (F.col("line_no") != F.col("at.line_no")))
         .select("doc", "line_no", "h1")
         .distinct()
     )
@@ -162,7 +173,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed_lines) of every document."""
     lines, removed = duplicate_lines(documents(spark, sf_dir))
     # summed by document on both sides first: no line is joined
-    every = lines.groupBy("doc").agg(F.count_distinct("line_no").alias("n_lines"))
+    every = lines.groupBy("doc").agg((F.max("line_no") + 1).cast("long").alias("n_lines"))
     gone = removed.groupBy("doc").agg(F.sort_array(F.collect_set("line_no")).alias("removed_lines"))
     none = F.array().cast("array<int>")
     return every.join(gone, "doc", "left").select(

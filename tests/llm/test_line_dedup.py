@@ -8,12 +8,12 @@ from dyadlake.llm import line_dedup as ld
 from helpers import AWKWARD, frame
 
 
-def anchored(norm):
-    latin = set("abcdefghijklmnopqrstuvwxyz0123456789") | {chr(c) for c in range(ord("ß"), ord("ÿ") + 1) if chr(c) != "÷"}
-    out = set()
-    for i, c in enumerate(norm):
-        if c != " " and (i == 0 or norm[i - 1] not in latin or (i >= 24 and " " not in norm[i - 24 : i])):
-            out.add(norm[i : i + ld.SHINGLE])
+def shingles(norm):
+    tokens, out = norm.split(" "), set()
+    for x, y in zip(tokens, [*tokens[1:], ""]):
+        out.add((x + " " + y)[: ld.SHINGLE])
+        if len(x) > ld.SHINGLE:
+            out |= {x[i : i + ld.SHINGLE] for i in range(0, len(x), ld.SHINGLE)}
     return out
 
 
@@ -23,7 +23,7 @@ def brute(rows):
         for k, line in enumerate((text or "").split("\n")):
             norm = line.strip(" ").lower()
             if len(norm) >= ld.MIN_CHARS:
-                lines[d, k] = (norm, anchored(norm))
+                lines[d, k] = (norm, shingles(norm))
     label = {p: p for p in lines}
     for a, b in combinations(lines, 2):
         x, y = lines[a][1], lines[b][1]
