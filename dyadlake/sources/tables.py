@@ -35,9 +35,9 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(records, corrupt lines) of JSON contact or annotation files."""
+    """(records, rows of the lines that do not parse) of JSON contact or annotation files."""
     df = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(schema + ", _corrupt string").json(path)
-    return df.where("_corrupt is null").drop("_corrupt"), df.where("_corrupt is not null").select("_corrupt")
+    return df.where("_corrupt is null").drop("_corrupt"), df.where("_corrupt is not null")
 
 
 def flatten(df: DataFrame, sep: str = "_", depth: int = 3) -> DataFrame:
