@@ -103,7 +103,8 @@ def _confirmed(members: DataFrame, similarity: int) -> DataFrame:
         state = materialize(state, "line-state")
         blocks = state.groupBy("root", "block").agg(F.collect_list(F.struct("node", "comp", "shingles")).alias("others"))
         common = lambda y: F.size(F.array_intersect("shingles", y["shingles"])).cast("long")
-        reach = lambda y: 100 * common(y) >= similarity * (F.size("shingles") + F.size(y["shingles"]) - common(y))
+        # common / (a + b - common) >= similarity, with the intersection taken once
+        reach = lambda y: (100 + similarity) * common(y) >= similarity * (F.size("shingles") + F.size(y["shingles"]))
         sized = lambda y: 100 * F.least(F.size("shingles"), F.size(y["shingles"])) >= similarity * F.greatest(F.size("shingles"), F.size(y["shingles"]))
         found = F.filter("others", lambda y: F.when((y["comp"] != F.col("comp")) & sized(y), reach(y)).otherwise(F.lit(False)))
         met = materialize(
