@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracles
 from .ann import op2_nearest_neighbours
 from .line_dedup import op8_line_dedup
 from .mixing import op6_mixing
@@ -34,4 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_near_dedup": oracles.NEAR_DEDUP,
+        "op5_substring_dedup": oracles.SUBSTRING_DEDUP,
+    }
