@@ -4,12 +4,13 @@
    set of its character shingles: ``SHINGLE`` characters from the start of each
    space-separated token, running on into the next one, and the successive
    pieces of tokens longer than that, so that every character counts.
-2. Shingles are hashed once; a signature is the ``ROWS`` smallest hashes in each
-   of ``BANDS`` equal ranges of the hash space (one-permutation MinHash).
-3. High-recall banding: each range is a band.  At similarity 0.85 a pair misses
-   all bands with probability 5e-4, short lines less.  Equal lines are one node.
-   A band's rows meet its smallest member only, so links are linear in rows;
-   their components are coarse clusters.
+2. Shingles are hashed once onto a ring of 64 bits; a signature is, for each of
+   ``BANDS`` fixed points, the ``ROWS`` hashes that follow it on the ring
+   (one-permutation MinHash in which no range is empty).
+3. High-recall banding: each point is a band.  At similarity 0.85 a pair misses
+   all bands with probability 5e-4.  Equal lines are one node.  A band's rows
+   meet its smallest member only, so links are linear in rows; their components
+   are coarse clusters.
 4. Exact Jaccard verification inside the clusters, which are dealt in blocks of
    ``BLOCK`` members: a member meets a block as a whole and gives its smallest
    and largest match of another component.  Members with further matches in a
@@ -66,22 +67,25 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _bands(hashes: Column) -> list[Column]:
-    bits = BANDS.bit_length() - 1
-    part = lambda b: F.filter(hashes, lambda h: F.shiftrightunsigned(h, 64 - bits) == b)
-    lowest = lambda b: F.slice(F.sort_array(F.array_distinct(part(b))), 1, ROWS)
-    return [F.when(F.size(lowest(b)) > 0, F.xxhash64(F.lit(b), lowest(b))) for b in range(BANDS)]
+_POINTS = [-(1 << 63) + k * (1 << 64) // BANDS for k in range(BANDS)]
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc, line_no, h1, h2, bands), in one map over the texts: bands is null for lines that always stay, a band null for an empty range."""
-    hashed = _lines(docs).select("doc", "line_no", "h1", "h2", F.when(F.char_length("norm") >= MIN_CHARS, _shingles(F.col("norm"))).alias("hashes"))
-    return hashed.select("doc", "line_no", "h1", "h2", F.when(F.col("hashes").isNotNull(), F.array(*_bands(F.col("hashes")))).alias("bands"))
+    """(doc, line_no, h1, h2, bands), in one map over the texts: bands is null for lines that always stay."""
+    names = ["doc", "line_no", "h1", "h2"]
+    hashed = _lines(docs).select(*names, F.when(F.char_length("norm") >= MIN_CHARS, _shingles(F.col("norm"))).alias("hashes"))
+    ring = hashed.select(*names, F.sort_array(F.concat(F.array_distinct("hashes"), F.array(*map(F.lit, _POINTS)))).alias("ring"))
+    reach = ROWS + BANDS  # the rows after a point, with all points between
+    whole = ring.select(*names, "ring", F.concat("ring", F.slice("ring", 1, reach)).alias("round"))
+    # points are the multiples of 2**64 / BANDS
+    after = lambda p: F.filter(F.slice("round", F.array_position("ring", p).cast("int") + 1, reach), lambda h: h.bitwiseAND((1 << 64) // BANDS - 1) != 0)
+    bands = [F.xxhash64(F.lit(k), F.slice(after(p), 1, ROWS)) for k, p in enumerate(_POINTS)]
+    return whole.select(*names, F.when(F.col("ring").isNotNull(), F.array(*bands)).alias("bands"))
 
 
 def _clusters(signed: DataFrame) -> DataFrame:
     """(node, root): components of the links between a band's members and its smallest; a line's node is its first hash."""
-    keyed = signed.select(F.col("h1").alias("node"), F.posexplode("bands").alias("band", "key")).where("key is not null")
+    keyed = signed.select(F.col("h1").alias("node"), F.posexplode("bands").alias("band", "key"))
     heads = keyed.groupBy("key", "band").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
     links = keyed.join(heads.drop("tail"), ["key", "band"]).where("node <> head").select("head", "node").distinct()
     return components(links, "head", "node")
