@@ -13,7 +13,7 @@
    are coarse clusters.
 4. Exact Jaccard verification inside the clusters, which are dealt in blocks of
    ``BLOCK`` members: a member meets a block as a whole and gives its smallest
-   and largest match of another component.  Members with further matches in a
+   and largest match among larger members of other components.  Members with further matches in a
    block have another turn after union-find, until none is left; no pair is
    written out as a row, none is skipped.
 5. Distributed union-find; a component keeps its line of the smallest (doc_id,
@@ -110,7 +110,9 @@ def _confirmed(members: DataFrame, similarity: int) -> DataFrame:
         # common / (a + b - common) >= similarity, with the intersection taken once
         reach = lambda y: (100 + similarity) * common(y) >= similarity * (F.size("shingles") + F.size(y["shingles"]))
         sized = lambda y: 100 * F.least(F.size("shingles"), F.size(y["shingles"])) >= similarity * F.greatest(F.size("shingles"), F.size(y["shingles"]))
-        found = F.filter("others", lambda y: F.when((y["comp"] != F.col("comp")) & sized(y), reach(y)).otherwise(F.lit(False)))
+        # each pair is met once, by its smaller member
+        open_ = lambda y: (y["node"] > F.col("node")) & (y["comp"] != F.col("comp")) & sized(y)
+        found = F.filter("others", lambda y: F.when(open_(y), reach(y)).otherwise(F.lit(False)))
         met = materialize(
             turn.join(state.select("root", "node", "comp", "shingles"), ["root", "node"])
             .join(blocks, ["root", "block"])
