@@ -1,9 +1,8 @@
 """Line dedup (operator 8, native): fuzzy lines by MinHash.
 
 1. A line of ``MIN_CHARS`` or more code points (lower-cased, trimmed) becomes the
-   set of its character shingles: ``SHINGLE`` characters from the start of each
-   space-separated token, running on into the next one, and the successive
-   pieces of tokens longer than that, so that every character counts.
+   set of its character shingles: the characters of each space-separated token
+   and the first ``TAIL`` of the next one, so that every character counts.
 2. Shingles are hashed once onto a ring of 64 bits; a signature is, for each of
    ``BANDS`` fixed points, the ``ROWS`` hashes that follow it on the ring
    (one-permutation MinHash in which no range is empty).
@@ -35,7 +34,9 @@ from .store import documents, materialize
 
 SIMILARITY = 85
 MIN_CHARS = 20
-SHINGLE = 12
+TAIL = 4
+#: Ids of documents with candidate lines up to which they are broadcast: 32 MB; beyond that, a shuffled join finds them.
+BROADCAST_IDS = 2_000_000
 BANDS, ROWS = 8, 3
 BLOCK = 128
 
@@ -52,9 +53,7 @@ def _shingles(norm: Column) -> Column:
     """Hashes of a line's shingles, repeats included."""
     tokens = F.split(norm, " ")
     after = F.concat(F.slice(tokens, 2, _MOST), F.array(F.lit("")))
-    runs = F.zip_with(tokens, after, lambda x, y: F.xxhash64(F.left(F.concat(x, F.lit(" "), y), F.lit(SHINGLE))))
-    pieces = lambda x: F.transform(F.regexp_extract_all(x, F.lit(f"(?s).{{1,{SHINGLE}}}"), F.lit(0)), lambda p: F.xxhash64(p))
-    return F.concat(runs, F.flatten(F.transform(F.filter(tokens, lambda x: F.char_length(x) > SHINGLE), pieces)))
+    return F.zip_with(tokens, after, lambda x, y: F.xxhash64(x, F.left(y, F.lit(TAIL))))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -63,7 +62,7 @@ def _lines(docs: DataFrame) -> DataFrame:
         docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
         .select("doc", "line_no", _norm(F.col("line")).alias("norm"))
         .withColumn("h1", F.xxhash64("norm"))
-        .withColumn("h2", F.xxhash64(F.lit(SHINGLE), "norm"))
+        .withColumn("h2", F.xxhash64(F.lit(TAIL), "norm"))
     )
 
 
@@ -85,9 +84,10 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def _clusters(signed: DataFrame) -> DataFrame:
     """(node, root): components of the links between a band's members and its smallest; a line's node is its first hash."""
-    keyed = signed.select(F.col("h1").alias("node"), F.posexplode("bands").alias("band", "key"))
-    heads = keyed.groupBy("key", "band").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
-    links = keyed.join(heads.drop("tail"), ["key", "band"]).where("node <> head").select("head", "node").distinct()
+    # a key's hash has its band's number in it
+    keyed = signed.select(F.col("h1").alias("node"), F.explode("bands").alias("key"))
+    heads = keyed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
+    links = keyed.join(heads.drop("tail"), "key").where("node <> head").select("head", "node").distinct()
     return components(links, "head", "node")
 
 
@@ -144,7 +144,9 @@ def duplicate_lines(docs: DataFrame, similarity: int = SIMILARITY) -> tuple[Data
         "line-wanted",
     )
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("doc", F.coalesce("doc_id", F.lit(_LAST)))
-    texts = _lines(source.join(wanted.select("doc").distinct(), "doc", "left_semi"))
+    ids = materialize(wanted.select("doc").distinct(), "line-ids")
+    few = ids.count() <= BROADCAST_IDS
+    texts = _lines(source.join(F.broadcast(ids) if few else ids, "doc", "left_semi"))
     members = (
         texts.join(wanted, ["doc", "h1", "h2"])
         .select("root", "node", F.array_distinct(_shingles(F.col("norm"))).alias("shingles"))

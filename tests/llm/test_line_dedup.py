@@ -9,12 +9,8 @@ from helpers import AWKWARD, frame
 
 
 def shingles(norm):
-    tokens, out = norm.split(" "), set()
-    for x, y in zip(tokens, [*tokens[1:], ""]):
-        out.add((x + " " + y)[: ld.SHINGLE])
-        if len(x) > ld.SHINGLE:
-            out |= {x[i : i + ld.SHINGLE] for i in range(0, len(x), ld.SHINGLE)}
-    return out
+    tokens = norm.split(" ")
+    return {(x, y[: ld.TAIL]) for x, y in zip(tokens, [*tokens[1:], ""])}
 
 
 def brute(rows):
