@@ -9,8 +9,9 @@
    ``votes / (2 k + 1)``.  Seats that any order awards are counted in closed
    form from a divisor that cannot overshoot; only the last few, at most one or
    two a party, are ranked.
-3. A shard's words are laid in a line in seeded order.  Whole passes take every
-   document; the rest is a seeded choice of the line's blocks.
+3. A shard's documents are laid in a line in seeded order.  Whole passes take
+   every document; the rest is the line's start: whole documents of a seeded
+   draw, and of the one at the end its first words, for the target is in words.
 
 A source is dealt to shards of about ``SHARD`` words, so a source that holds a
 third of all rows is no larger a task than any other.  DataFrame operations
@@ -76,8 +77,8 @@ def apportion(parties: DataFrame, group: list[str], party: str, votes: str, seat
     return base.join(ranked, [*group, party], "left").withColumn(out, F.col("_sure") + F.coalesce("_more", F.lit(0))).drop("_sure", "_most", "_left", "_more")
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """(row, doc_id, size, source_size, target, taken) of every document."""
+def _mix(docs: DataFrame, weights: tuple[int, ...], epochs: int, block: int, seed: int) -> DataFrame:
+    """(row, doc_id, source, size, source_size, target, taken) of every document."""
     size: Column = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     sized = materialize(
         docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size")), "mix-sized"
@@ -87,7 +88,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int
     quotas = materialize(apportion(seats, [], "src", "target", "_blocks", "quota").drop("_blocks"), "mix-quotas")
 
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD)).cast("long")
-    placed = sized.join(quotas, sized["source"].eqNullSafe(quotas["source"])).drop("source").withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), shards))
+    placed = sized.join(quotas, sized["source"].eqNullSafe(quotas["source"])).drop(quotas["source"]).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), shards))
     sizes = placed.groupBy("src", "shard").agg(F.sum("size").alias("shard_size"), F.max("quota").alias("quota"))
     taken = (
         apportion(sizes, ["src"], "shard", "shard_size", "quota", "blocks")
@@ -97,46 +98,44 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int
         .select("src", "shard", "shard_size", "passes", "rest")
     )
     shares = materialize(taken, "mix-shards")
-    drawn = Window.partitionBy("src", "shard").orderBy("draw", "k")
-    chosen = (
-        shares.where("rest > 0")
-        .select("src", "shard", "shard_size", "rest", F.explode(F.sequence(F.lit(0), F.floor((F.col("shard_size") - 1) / block))).alias("k"))
-        .withColumn("long", F.least(F.lit(block), F.col("shard_size") - F.col("k") * block))
-        .withColumn("draw", F.xxhash64(F.lit(seed), "src", "shard", "k"))
-        .withColumn("before", F.sum("long").over(drawn) - F.col("long"))
-        .select("src", "shard", "k", F.least(F.col("long"), F.col("rest") - F.col("before")).alias("part"))
-        .where("part > 0")
-    )
     line = Window.partitionBy("src", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size", "row")
     laid = placed.where("size > 0").withColumn("at", F.sum("size").over(line) - F.col("size"))
-    pieces = (
-        laid.select("row", "src", "shard", "at", "size", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block))).alias("k"))
-        .join(chosen, ["src", "shard", "k"])
-        .select("row", F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), F.col("k") * block + F.col("part")) - F.greatest("at", F.col("k") * block)).alias("n"))
-        .groupBy("row")
-        .agg(F.sum("n").alias("extra"))
+    drawn = (
+        laid.join(shares.where("rest > 0").select("src", "shard", "rest"), ["src", "shard"])
+        .where("at < rest")
+        .select("row", F.least(F.col("size"), F.col("rest") - F.col("at")).alias("extra"))
     )
     return (
         placed.join(shares.select("src", "shard", "passes"), ["src", "shard"])
-        .join(pieces, "row", "left")
-        .select("row", "doc_id", "size", "source_size", "target", (F.col("passes") * F.col("size") + F.coalesce("extra", F.lit(0))).cast("long").alias("taken"))
+        .join(drawn, "row", "left")
+        .select("row", "doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + F.coalesce("extra", F.lit(0))).cast("long").alias("taken"))
     )
 
 
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """(row, doc_id, size, source_size, target, taken) of every document."""
+    return _mix(docs, weights, epochs, block, seed).drop("source")
+
+
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """``docs`` as the mix takes them: a row for every whole pass over a document, and one cut behind its last taken word.
+    """``docs`` as the mix takes them: a row for every whole pass over a document or draw of it, and at most one a shard cut behind its last taken word.
 
-    Rows repeated in full share what the mix takes of them evenly; documents of which it takes nothing go.
+    Rows alike in id, source and size are told apart by their texts; documents of which it takes nothing go.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    key = ["__id", "__size", "__source"]
+    alike = Window.partitionBy(*key)
+    source = F.struct("source")  # equal to itself where it is null
     shares = (
-        mix_sources(docs, weights, epochs, block, seed)
-        .groupBy(F.coalesce("doc_id", F.lit(_LAST)).alias("__id"), F.col("size").alias("__size"))
-        .agg(F.floor(F.sum("taken") / F.count("*")).alias("__taken"))
+        _mix(docs, weights, epochs, block, seed)
+        .where("size > 0")
+        .select(F.coalesce("doc_id", F.lit(_LAST)).alias("__id"), F.col("size").alias("__size"), source.alias("__source"), F.col("taken").alias("__taken"))
+        .withColumn("__nth", F.row_number().over(alike.orderBy(F.desc("__taken"))))
         .where("__taken > 0")
     )
-    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("__size", size)
-    copies = keyed.join(shares, ["__id", "__size"]).withColumn("__pass", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")))))
+    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumns({"__size": size, "__source": source}).where("__size > 0")
+    keyed = keyed.withColumn("__nth", F.row_number().over(alike.orderBy(F.xxhash64("text"))))
+    copies = keyed.join(shares, [*key, "__nth"]).withColumn("__pass", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")))))
     left = F.least(F.col("__size"), F.col("__taken") - (F.col("__pass") - 1) * F.col("__size")).cast("int")
     cut = F.array_join(F.slice(F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), left), "")
     text = F.when(left < F.col("__size"), cut).otherwise(F.col("text"))

@@ -78,3 +78,22 @@ def test_awkward_rows_and_empty_table(spark):
     assert mx.mix_sources(frame(spark, AWKWARD[:1]).limit(0)).collect() == []
     none = mx.mix_sources(spark.createDataFrame([(1, None, None, "a", None), (None, "", None, None, None)], DOCS)).collect()
     assert sorted((r.size, r.taken, r.target) for r in none) == [(0, 0, 0.0)] * 2
+
+
+def test_mixed_documents_are_whole_but_one_a_shard(spark):
+    rng = random.Random(4)
+    text = lambda k, n: " ".join(f"w{k}.{i}" for i in range(n))
+    rows = [(k, text(k, rng.choice([40, 300, 900])), "en", rng.choice("abc"), 0) for k in range(120)]
+    # alike in id and size: same source or not, same text or not
+    rows += [(500, text(500 + k // 2, 700), "en", s, 0) for s in ("a", "a", None) for k in range(4)]
+    got = mx.mixed_documents(frame(spark, rows)).collect()
+    whole = {(r[0], r[1], r[3]) for r in rows}
+    cut = [r for r in got if (r.doc_id, r.text, r.source) not in whole]
+    assert len({r.source for r in cut}) == len(cut)
+    taken = mx.mix_sources(frame(spark, rows)).collect()
+    assert sum(0 < r.taken < r.size for r in taken) <= 4 and any(r.taken == 0 for r in taken)
+    assert sum(len(r.text.split()) for r in got) == sum(r.taken for r in taken)
+    for s in ("a", "b", "c", None):
+        sizes = {d: len(t.split()) for d, t, _, q, _ in rows if q == s and d != 500}
+        out = sum(len(r.text.split()) for r in got if r.source == s and r.doc_id != 500)
+        assert out == sum(r.taken for r in taken if r.doc_id in sizes)
