@@ -64,22 +64,31 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return member.unionByName(member.select(F.col("component").alias("node"), "component").distinct())
 
 
-def label_propagation(edges: DataFrame, rounds: int = 10, weight: str = "weight") -> DataFrame:
-    """(node, community): synchronous and deterministic; the label of the largest summed weight, ties to the smaller, own label at half its strongest edge."""
+def label_propagation(edges: DataFrame, weight: str = "weight", seed: int = 0) -> DataFrame:
+    """(node, community): each node has a label of the largest summed weight among its neighbours'.
+
+    A node moves only where another label weighs more than its own, to the
+    smallest of the heaviest; of neighbours that would move, one does, by seeded
+    draw.  So every move adds to the weight inside communities, and no cap is
+    needed: the loop ends when no label would move.
+    """
     both = edges.select("src", "dst", weight).unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), weight))
-    both = stored(both.where("src <> dst"), "lpa-edges")
-    own = both.groupBy(F.col("src").alias("node")).agg((F.max(weight) / 2).alias("own"))
-    labels = stored(own.select("node", "own", F.col("node").alias("community")), "lpa")
-    for _ in range(rounds):
-        votes = both.join(labels.select(F.col("node").alias("dst"), "community"), "dst").select(F.col("src").alias("node"), "community", F.col(weight).alias("w"))
-        votes = votes.unionByName(labels.select("node", "community", F.col("own").alias("w")))
-        score = votes.groupBy("node", "community").agg(F.sum("w").alias("w"))
-        best = score.groupBy("node").agg(F.min(F.struct((-F.round("w", 9)).alias("w"), "community"))["community"].alias("next"))
-        after = stored(labels.join(best, "node").select("node", "own", F.col("next").alias("community"), (F.col("next") != F.col("community")).alias("moved")), "lpa")
-        labels = after.drop("moved")
-        if after.where("moved").isEmpty():
-            break
-    return labels.select("node", "community")
+    # exact sums: equal weights compare equal in any order
+    both = stored(both.where("src <> dst").select("src", "dst", F.round(weight, 9).cast("decimal(28,9)").alias("w")), "lpa-edges")
+    labels = stored(both.select(F.col("src").alias("node"), F.col("src").alias("community")).distinct(), "lpa")
+    turn = 0
+    while True:
+        votes = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node"), "community").agg(F.sum("w").alias("w"))
+        held = votes.join(labels.withColumnRenamed("community", "own"), "node")
+        best = held.groupBy("node").agg(F.min(F.struct((-F.col("w")).alias("w"), "community")).alias("best"), F.max(F.when(F.col("community") == F.col("own"), F.col("w"))).alias("own"))
+        wish = best.where("-best.w > coalesce(own, 0)").select("node", F.col("best.community").alias("next"), F.struct(F.xxhash64(F.lit(seed + turn), "node"), "node").alias("draw"))
+        wish = stored(wish, "lpa-wish")
+        if wish.isEmpty():
+            return labels
+        rival = both.join(wish.select(F.col("node").alias("dst"), F.col("draw").alias("other")), "dst").groupBy(F.col("src").alias("node")).agg(F.max("other").alias("other"))
+        moves = wish.join(rival, "node", "left").where("other is null or draw > other").select("node", "next")
+        labels = stored(labels.join(moves, "node", "left").select("node", F.coalesce("next", "community").alias("community")), "lpa")
+        turn += 1
 
 
 def khop(edges: DataFrame, sources: DataFrame, hops: int, max_degree: int | None = None) -> DataFrame:

@@ -65,6 +65,24 @@ def test_graphs(spark):
     assert graph.connected_components(chain.limit(0)).count() == 0
 
 
+def test_label_propagation_ends_where_no_label_would_move(spark):
+    rng = np.random.default_rng(6)
+    pairs = [(100 + 2 * k, 101 + 2 * k, 0.4) for k in range(20)]
+    path = [(200 + k, 201 + k, 1.0) for k in range(14)]
+    star = [(300, 301 + k, 0.7) for k in range(9)]
+    random = [(400 + int(a), 400 + int(b), float(w)) for a, b, w in zip(*rng.integers(0, 40, (2, 90)), rng.random(90) + 0.1) if a != b]
+    edges = pairs + path + star + random
+    got = dict(values(graph.label_propagation(spark.createDataFrame(edges, "src int, dst int, weight double")), "node", "community"))
+    votes = {}
+    for a, b, w in edges:
+        for node, other in ((a, b), (b, a)):
+            mine = votes.setdefault(node, {})
+            mine[got[other]] = mine.get(got[other], 0) + w
+    assert set(got) == set(votes)
+    assert all(v.get(got[n], 0) >= max(v.values()) - 1e-6 for n, v in votes.items())
+    assert all(got[a] == got[b] for a, b, _ in pairs + star)
+
+
 def test_interface_coverage(spark):
     edges = spark.createDataFrame([("a", "b", 0, 10, 0.8), ("b", "a", 0, 10, 0.7), ("a", "c", 5, 6, 0.9), ("c", "a", 0, 9, 0.9)], 'src string, dst string, start int, end int, weight double')
     faces = spark.createDataFrame([("a", [1, 2, 20]), ("a", [3]), ("b", [4, 30]), ("c", [1])], "node string, residues array<int>")
