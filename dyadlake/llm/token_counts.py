@@ -5,10 +5,14 @@ budget question is a lookup, never another encoding.  Two tables compose:
 
 * chunks (maximal runs without white space) tokenise independently, so the
   count at a chunk boundary is the count at the one before plus the chunk's;
-* inside a chunk, ``unit_prefix_counts`` fills one table cell per symbol:
-  the encoding of a prefix is that of a shorter prefix plus one last token,
-  and that token is the only vocabulary entry that ends there and forms a
-  stable pair with the shorter prefix's last token.
+* inside a chunk, words, digits, signs and contractions are units of their own,
+  and ``_Prefix`` fills one table cell per symbol (byte) of a unit: the encoding
+  of a prefix is that of a shorter prefix plus one last token, and that token is
+  the only vocabulary entry that ends there and forms a stable pair with the
+  shorter prefix's last token.
+
+A truncation point goes by chunks to the one that crosses the budget, and on by
+symbols inside it.
 
 Null and empty texts count no tokens.  A repeated chunk is encoded once per
 worker while it stays in a bounded memo.  Extra columns of the input are not
@@ -18,6 +22,7 @@ read.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import islice
 
@@ -37,6 +42,13 @@ _CHUNK = re.compile(r"[^\s]+")
 #: White space to ``str.split`` but not to the tokenizer.
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 _ASCII_CHUNK = re.compile(r"[^\x20\x09-\x0d]+")
+#: Letters that form a unit with an apostrophe before them.
+_CONTRACTIONS = frozenset(("s", "t", "re", "ve", "m", "ll", "d"))
+
+
+def _joins(c: str) -> bool:
+    """Whether normalisation may change this code point or those before it when they meet."""
+    return unicodedata.category(c)[0] == "M" or "\u1160" <= c <= "\u11ff"
 
 
 class PrefixCounter:
@@ -53,6 +65,8 @@ class PrefixCounter:
         self.end = spec["model"].get("end_of_word_suffix") or ""
         self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): k for k, m in enumerate(spec["model"]["merges"])}
         self.special = [t["content"] for t in spec["added_tokens"]]
+        self.specials = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
+        self.kinds: dict[str, tuple[str, str]] = {}
         self.longest = max(len(t) for t in self.vocab)
         self.memo: dict[str, int] = {}
         self.bound = memo
@@ -109,30 +123,48 @@ class PrefixCounter:
             self.stable[key] = self._merge([s for x in want for s in self._split(x)]) == want
         return self.stable[key]
 
+    def symbols(self, c: str) -> tuple[str, str]:
+        """(kind, bytes as the vocabulary writes them) of a normalised code point; kinds are those of the tokenizer's split."""
+        if c not in self.kinds:
+            split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            parts = split(c)
+            kind = "" if not parts else "L" if len(split(c + "a")) == 1 else "O" if len(split(c + "!")) == 1 else "N"
+            self.kinds[c] = kind, "".join(x for x, _ in parts)
+        return self.kinds[c]
+
     def unit_prefix_counts(self, unit: str) -> list[int]:
         """Token counts of ``unit[:i]`` for every i, each prefix closed as a word of its own."""
-        inner, last, closed = [0], [""], [0]
-        for i in range(1, len(unit) + 1):
-            for n in range(1, min(i, self.longest) + 1):
-                token = unit[i - n : i]
-                if token in self.vocab and self._pair(last[i - n], token):
-                    inner.append(inner[i - n] + 1)
-                    last.append(token)
-                    break
-            else:
-                raise ValueError(f"no vocabulary entry ends at {i} of {unit!r}")
-            for n in range(1, min(i, self.longest) + 1):
-                token = unit[i - n : i] + self.end
-                if token in self.vocab and self._pair(last[i - n], token):
-                    closed.append(inner[i - n] + 1)
-                    break
-        return closed
+        state = _Prefix(self)
+        return [0, *(state.push(c) for c in unit)]
+
+    def _plain_prefix_counts(self, plain: str) -> list[int]:
+        """The same for text without special tokens, normalised as far as it goes."""
+        normal = self.tokenizer.normalizer.normalize_str
+        state, out, at = _Prefix(self), [0], 0
+        while at < len(plain):
+            end = at + 1
+            while end < len(plain) and _joins(plain[end]):
+                end += 1
+            for i in range(at + 1, end):
+                part = state.copy()
+                for c in normal(plain[at:i]):
+                    part.push(c)
+                out.append(part.count)
+            for c in normal(plain[at:end]):
+                state.push(c)
+            out.append(state.count)
+            at = end
+        return out
 
     def chunk_prefix_counts(self, chunk: str) -> list[int]:
-        """Token counts of ``chunk[:i]`` for every i; letters of one ASCII word by the table, the rest by unit."""
-        if chunk.isascii() and chunk.isalpha():
-            return self.unit_prefix_counts(chunk.lower())
-        return [0, *map(len, self.tokenizer.encode_batch_fast([chunk[:i] for i in range(1, len(chunk) + 1)], add_special_tokens=False))]
+        """Token counts of ``chunk[:i]`` for every i; special tokens are whole from their last code point on."""
+        out, base, at = [0], 0, 0
+        for m in self.specials.finditer(chunk):
+            # inside a special token its start is still plain text
+            out += [base + n for n in self._plain_prefix_counts(chunk[at : m.end() - 1])[1:]]
+            base, at = out[m.start()] + 1, m.end()
+            out.append(base)
+        return out + [base + n for n in self._plain_prefix_counts(chunk[at:])[1:]]
 
     # questions ---------------------------------------------------------------
 
@@ -147,12 +179,73 @@ class PrefixCounter:
         return out + [int(table[-1])] * (len(text) - at)
 
     def fits(self, text: str, table: np.ndarray, budget: int) -> int:
-        """Code points of the text up to the last chunk boundary within the budget."""
+        """Code points of the longest prefix within the budget."""
         if table[-1] <= budget:
             return len(text)
         k = int(np.searchsorted(table, budget, "right")) - 1
         pattern = _ASCII_CHUNK if _SEPARATORS.search(text) else _CHUNK
-        return next((m.end() for m in islice(pattern.finditer(text), k - 1, k)), 0) if k else 0
+        m = next(islice(pattern.finditer(text), k, None))
+        counts, room = self.chunk_prefix_counts(m.group()), budget - int(table[k])
+        return m.start() + max(i for i, n in enumerate(counts) if n <= room)
+
+
+class _Prefix:
+    """Token count of a normalised text that grows by code points (``count``)."""
+
+    def __init__(self, counter: PrefixCounter):
+        self.counter, self.count, self.quote = counter, 0, None
+        self._open("", 0)
+
+    def _open(self, kind: str, base: int) -> None:
+        self.kind, self.base, self.unit, self.written = kind, base, "", ""
+        self.inner, self.last = [0], [""]
+
+    def copy(self) -> _Prefix:
+        twin = object.__new__(_Prefix)
+        twin.__dict__.update(self.__dict__)
+        twin.inner, twin.last = self.inner[:], self.last[:]
+        return twin
+
+    def push(self, c: str) -> int:
+        kind, written = self.counter.symbols(c)
+        if self.kind == "O" and self.unit == "'" and kind == "L":
+            self.quote = self.base
+            self._open("L", self.count)
+        elif kind != self.kind or kind in ("", "N"):
+            self.quote = None
+            self._open(kind, self.count)
+        self.unit = self.unit[:3] + c
+        if self.quote is not None and self.unit in _CONTRACTIONS:
+            base, unit = self.quote, self.unit
+            self.quote = None
+            self._open("C", base)
+            written = "".join(self.counter.symbols(x)[1] for x in "'" + unit)
+        elif len(self.unit) > 2:
+            self.quote = None
+        for x in written:
+            self._symbol(x)
+        if written:
+            self.count = self.base + self._closed()
+        return self.count
+
+    def _symbol(self, x: str) -> None:
+        self.written = self.written[-self.counter.longest :] + x
+        i, size, vocab = len(self.inner), len(self.written), self.counter.vocab
+        for n in range(1, min(i, self.counter.longest) + 1):
+            token = self.written[size - n :]
+            if token in vocab and self.counter._pair(self.last[i - n], token):
+                self.inner.append(self.inner[i - n] + 1)
+                self.last.append(token)
+                return
+        raise ValueError(f"no vocabulary entry ends {self.written!r}")
+
+    def _closed(self) -> int:
+        i, size = len(self.inner) - 1, len(self.written)
+        for n in range(1, min(i, self.counter.longest) + 1):
+            token = self.written[size - n :] + self.counter.end
+            if token in self.counter.vocab and self.counter._pair(self.last[i - n], token):
+                return self.inner[i - n] + 1
+        raise ValueError(f"no vocabulary entry closes {self.written!r}")
 
 
 _counters: dict[str, PrefixCounter] = {}
@@ -168,7 +261,7 @@ SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, cut_at l
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> DataFrame:
-    """Exact counts per document and the code points that fit the budget at a chunk boundary (``cut_at``).
+    """Exact counts per document and the code points of the longest prefix that fits the budget (``cut_at``).
 
     One map over the scan: no shuffle, state bounded by the memo.
     """

@@ -34,3 +34,21 @@ def test_a_full_memo_does_not_change_counts():
 
 def test_empty_table(spark):
     assert token_counts(frame(spark, AWKWARD[:1]).limit(0), PATH).collect() == []
+
+
+def test_prefixes_of_any_script_are_exact():
+    whole, state = Tokenizer.from_file(PATH), PrefixCounter(PATH)
+    texts = ("漢字テストである。日本語", "\U0001f600\U0001f601x\U0001f600", "don't we'll they've 'tis I'rex !'s ''s a'l'll", "e\u0301a\u0300\u0323x \u1100\u1161\u11a8가", "İSTANBUL ΣΑΣ ½Ⅷ٣४", "x<|endoftext|>y!!<|endof <|startoftext|><|endoftext|>'s", "QmFzZTY0/+abc==;{}();", "ไทยภาษา हिन्दी")
+    for text in texts:
+        want = [len(whole.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
+        assert state.prefix_counts(text) == want, text
+
+
+def test_one_more_code_point_would_exceed_the_budget(spark):
+    whole = Tokenizer.from_file(PATH)
+    size = lambda t: len(whole.encode(t, add_special_tokens=False).ids)
+    texts = ["漢字テスト" * 900, "x" * 20000, "a b " * 3000, "QmFz/ZTY0+9=" * 800, "word  " + "don't!" * 1200, "é" * 9000]
+    rows = [(k, t, None, None, None) for k, t in enumerate(texts)]
+    for r in token_counts(frame(spark, rows), PATH).collect():
+        text = texts[r.doc_id]
+        assert r.over_limit and size(text[: r.cut_at]) <= 2048 < size(text[: r.cut_at + 1])
