@@ -30,12 +30,12 @@ def line_features(line: str, seen: bool) -> np.ndarray:
     chars = len(line)
     raw = np.bincount(np.frombuffer(line.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)
     symbols, digits = int(raw[_SYMBOLS].sum()), int(raw[48:58].sum())
-    upper = sum(map(str.isupper, words[:400]))
+    upper = sum(map(str.isupper, words))
     counts = len(set(words))
     again = sum(a == b for a, b in zip(words, words[1:]))
     out[1] = symbols > 0.02 * chars
     out[2] = symbols > 0.1 * chars
-    out[3] = upper > 0.5 * min(n, 400) and n > 2
+    out[3] = upper > 0.5 * n and n > 2
     out[4] = digits > 0.2 * chars
     out[5] = again > 0.2 * n
     out[6] = counts < 0.5 * n

@@ -109,3 +109,9 @@ def test_pooling_is_isotonic():
 def test_held_out_is_the_checksum(spark):
     rows = spark.range(50).select("id", qm.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
+
+
+def test_capitals_are_counted_over_the_whole_line():
+    late, early = "low " * 400 + "HIGH " * 500, "HIGH " * 400 + "low " * 500
+    flags = [document_lines(t)[0][0][3] for t in (late, early, "HIGH " * 900, "low " * 900)]
+    assert flags == [1, 0, 1, 0]
