@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import discard, stored
 
 
 def filtered_edges(alignments: DataFrame, score: str, low: float, high: float, min_length: int = 0) -> DataFrame:
@@ -45,9 +45,14 @@ def interface_graph(edges: DataFrame, interfaces: DataFrame, coverage: float) ->
     return reciprocal(kept)
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component): the component's smallest node; star contractions until nothing changes."""
-    now = stored(edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where("u <> v").distinct(), "stars")
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", component: str = "component") -> DataFrame:
+    """(node, component) of every node that has an edge: the component's smallest node.
+
+    Large-star and small-star contractions until nothing changes.  Every step is
+    a grouped minimum joined back on the node, so a node with many links is
+    pre-aggregated before the exchange and never gathered anywhere.
+    """
+    now = stored(edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).where("u <> v").distinct(), "stars")
     mark = None
     while True:
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -55,13 +60,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         mark = seen
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
-    member = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return member.unionByName(member.select(F.col("component").alias("node"), "component").distinct())
+        after = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        discard(now)
+        now = after
+    member = now.select(F.col("u").alias("node"), F.col("v").alias(component))
+    return member.unionByName(member.select(F.col(component).alias("node"), component).distinct())
 
 
 def label_propagation(edges: DataFrame, weight: str = "weight", seed: int = 0) -> DataFrame:
@@ -84,10 +91,13 @@ def label_propagation(edges: DataFrame, weight: str = "weight", seed: int = 0) -
         wish = best.where("-best.w > coalesce(own, 0)").select("node", F.col("best.community").alias("next"), F.struct(F.xxhash64(F.lit(seed + turn), "node"), "node").alias("draw"))
         wish = stored(wish, "lpa-wish")
         if wish.isEmpty():
+            discard(wish)
             return labels
         rival = both.join(wish.select(F.col("node").alias("dst"), F.col("draw").alias("other")), "dst").groupBy(F.col("src").alias("node")).agg(F.max("other").alias("other"))
         moves = wish.join(rival, "node", "left").where("other is null or draw > other").select("node", "next")
-        labels = stored(labels.join(moves, "node", "left").select("node", F.coalesce("next", "community").alias("community")), "lpa")
+        moved = stored(labels.join(moves, "node", "left").select("node", F.coalesce("next", "community").alias("community")), "lpa")
+        discard(labels, wish)
+        labels = moved
         turn += 1
 
 
