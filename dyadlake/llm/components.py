@@ -1,39 +1,12 @@
-"""Distributed union-find over an edge table: alternating large-star and small-star.
-
-Every step is a grouped minimum joined back on the node, so a node with many
-links is pre-aggregated before the exchange and never gathered anywhere.
-"""
+"""Distributed union-find over an edge table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .store import discard, materialize
-
 
-def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(r)
+from dyadlake.operators.graph import connected_components
 
 
 def components(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    """(node, root) for every node that has an edge; the root is the component's smallest node."""
-    now = materialize(
-        edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).where("u <> v").distinct(), "links"
-    )
-    state = _state(now)
-    while state[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
-        before, seen = now, state
-        now, state = after, _state(after)
-        discard(before)
-        if state == seen:
-            break
-    roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    """(node, root) for every node that has an edge; the root is the component's smallest node.  Reads one stored table."""
+    return connected_components(edges, src, dst, "root")

@@ -1,193 +1,312 @@
-"""Line dedup (operator 8, native): fuzzy lines by MinHash.
+"""Line dedup (operator 8): fuzzy lines by MinHash.
 
-1. A line of ``MIN_CHARS`` or more code points (lower-cased, trimmed) becomes the
-   set of its character shingles: the characters of each space-separated token
-   and the first ``TAIL`` of the next one, so that every character counts.
-2. Shingles are hashed once onto a ring of 64 bits; a signature is, for each of
-   ``BANDS`` fixed points, the ``ROWS`` hashes that follow it on the ring
+1. A line's normal form (lower case, no spaces at its ends) is a set of
+   character shingles: every run of ``SHINGLE`` code points, at every position;
+   a shorter line is one shingle.
+2. Shingles are hashed onto a ring of 64 bits; band k of a signature is the
+   ``ROWS`` distinct hashes that follow the k-th of ``BANDS`` fixed points
    (one-permutation MinHash in which no range is empty).
-3. High-recall banding: each point is a band.  At similarity 0.85 a pair misses
-   all bands with probability 5e-4.  Equal lines are one node.  A band's rows
-   meet its smallest member only, so links are linear in rows; their components
-   are coarse clusters.
-4. Exact Jaccard verification inside the clusters, which are dealt in blocks of
-   ``BLOCK`` members: a member meets a block as a whole and gives its smallest
-   and largest match among larger members of other components.  Members with further matches in a
-   block have another turn after union-find, until none is left; no pair is
-   written out as a row, none is skipped.
+3. High-recall banding: lines that share a band are candidates.  At similarity
+   0.85 a pair misses all bands with probability 9e-4.  Equal lines are one
+   node, and buckets with the same members are one bucket.
+4. Exact Jaccard verification of all pairs of a bucket on the full shingle sets.
+   A bucket passes on a spanning forest of its confirmed links, so links are
+   linear in its rows.  Buckets above ``BLOCK`` members are dealt as pairs of
+   blocks: no task holds one whole, none is capped and no pair is a row.
 5. Distributed union-find; a component keeps its line of the smallest (doc_id,
    line number).
 
-DataFrame operations only.  Shorter and blank lines always stay.  Null texts
-have no lines to remove.  A null id counts as the largest.  Rows repeated in
-full count as one document and keep the same lines.  Extra columns of the input
-are not read, and pass through ``drop_duplicate_lines``.
+Signatures and verification are Arrow batches: at every position, expressions
+alone take more than the whole budget (README).  Splitting, normal forms,
+names, joins, aggregates and union-find are DataFrame operations.
+
+Blank lines always stay; every other line takes part, however short.  Null
+texts have no lines to remove and stay null.  A null id counts as the largest.
+Rows that share an id and a text count as one document and keep the same lines;
+rows that share an id alone are documents of their own.  A line's shingles must
+fit in a task's memory.  Extra columns of the input are not read, and pass
+through ``drop_duplicate_lines``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import textops as T
 from .components import components
-from .store import documents, materialize
+from .store import Scratch, documents
 
 SIMILARITY = 85
-MIN_CHARS = 20
-TAIL = 4
-#: Ids of documents with candidate lines up to which they are broadcast: 32 MB; beyond that, a shuffled join finds them.
-BROADCAST_IDS = 2_000_000
-BANDS, ROWS = 8, 3
-BLOCK = 128
+SHINGLE = 5
+BANDS, ROWS = 12, 5
+BLOCK = 1024
+#: Code points whose shingles are hashed together, and line names a worker remembers.
+CODES = 1 << 19
+MEMO = 1 << 19
+#: Members from which a bucket goes by its key alone, so that a task need not hold its list.
+LISTED = 1 << 16
 
+_U = np.uint64
 _LAST = (1 << 63) - 1
-#: More tokens than a line can have; sums with it stay within 32 bits.
-_MOST = 1 << 30
+_STEP = _U(0x9E3779B97F4A7C15)
+_POINTS = np.array([(k << 64) // BANDS for k in range(BANDS)], dtype=object).astype(_U)
 
 
 def _norm(line: Column) -> Column:
     return F.lower(F.trim(line))
 
 
-def _shingles(norm: Column) -> Column:
-    """Hashes of a line's shingles, repeats included."""
-    tokens = F.split(norm, " ")
-    after = F.concat(F.slice(tokens, 2, _MOST), F.array(F.lit("")))
-    return F.zip_with(tokens, after, lambda x, y: F.xxhash64(x, F.left(y, F.lit(TAIL))))
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc, name, text): documents by id and by a name of their text, for ids that repeat."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("name"), "text")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, line_no, h1, h2, norm) of every line; two independent hashes name a line's normal form."""
-    return (
-        docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
-        .select("doc", "line_no", _norm(F.col("line")).alias("norm"))
-        .withColumn("h1", F.xxhash64("norm"))
-        .withColumn("h2", F.xxhash64(F.lit(TAIL), "norm"))
-    )
+    """(doc, name, line_no, n1, n2, norm) of every line that is not blank; two hashes name a normal form."""
+    split = _rows(docs).select("doc", "name", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    named = split.select("doc", "name", "line_no", _norm(F.col("line")).alias("norm")).where(F.col("norm").rlike(r"[^\x20\x09-\x0D]"))
+    return named.select("doc", "name", "line_no", F.xxhash64("norm").alias("n1"), F.xxhash64(F.lit(SHINGLE), "norm").alias("n2"), "norm")
+
+
+def shingle_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of all lines one after another, and where each line's begin."""
+    codes = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") for x in lines]
+    sizes = np.array([len(c) for c in codes], np.int64)
+    padded = np.zeros(int(sizes.sum()) + SHINGLE - 1, _U)
+    np.concatenate(codes, out=padded[: len(padded) - SHINGLE + 1], casting="same_kind")
+    # a window that leaves its line is one of a shorter line, which has no other
+    n = len(padded) - SHINGLE + 1
+    ends = np.cumsum(sizes)
+    counts = np.maximum(sizes - SHINGLE + 1, 1)
+    h = padded[:n].copy()
+    for k in range(1, SHINGLE):
+        h *= _STEP
+        h += padded[k : n + k]
+    short = np.flatnonzero(sizes < SHINGLE)
+    for k in short:
+        value = 0
+        for c in codes[k].tolist():
+            value = (value * int(_STEP) + c + 1) & 0xFFFFFFFFFFFFFFFF
+        h[ends[k] - sizes[k]] = value ^ (len(codes[k]) << 60)
+    h = T.mix(h)
+    starts = ends - sizes
+    keep = np.zeros(n + 1, np.int8)
+    keep[starts] += 1
+    keep[starts + counts] -= 1
+    h = h[np.cumsum(keep[:-1], dtype=np.int8) > 0]
+    at = np.concatenate(([0], np.cumsum(counts)))
+    for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
+        if e - s > 1:
+            h[s:e].sort()
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    new[at[:-1]] = True
+    return h[new], np.concatenate(([0], np.cumsum(np.add.reduceat(new, at[:-1], dtype=np.int64))))
+
+
+def band_keys(lines: list[str]) -> np.ndarray:
+    """[lines, BANDS]: what names a line's band, the band's number in it."""
+    h, at = shingle_sets(lines)
+    first = np.empty((len(lines), BANDS), np.int64)
+    for k, (s, e) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+        first[k] = h[s:e].searchsorted(_POINTS)
+    size = np.diff(at)[:, None]
+    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=_U), first.shape).copy()
+    for j in range(ROWS):
+        keys = T.mix(keys * _STEP + h[at[:-1, None] + (first + j) % size])
+    return keys
 
 
-_POINTS = [-(1 << 63) + k * (1 << 64) // BANDS for k in range(BANDS)]
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A line's bands where the task meets its name for the first time, else null."""
+    seen: set[int] = set()
+    for whole in batches:
+        at = 0
+        while at < whole.num_rows:
+            sizes = np.cumsum(pc.binary_length(whole.column("norm").slice(at)).to_numpy(), dtype=np.int64)
+            batch = whole.slice(at, max(1, int(np.searchsorted(sizes, CODES))))
+            at += batch.num_rows
+            names, todo, lines = batch.column("n1").to_pylist(), [], []
+            if len(seen) + len(names) > MEMO:
+                seen.clear()
+            for k, name in enumerate(names):
+                if name not in seen:
+                    seen.add(name)
+                    todo.append(k)
+            norms = batch.column("norm").take(pa.array(todo, pa.int64())).to_pylist()
+            has = np.zeros(len(names), np.int32)
+            has[todo] = BANDS
+            values = band_keys(norms).ravel().view(np.int64) if norms else np.empty(0, np.int64)
+            keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(has))), pa.int32()), pa.array(values))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc", "name", "line_no", "n1", "n2")), keys], names=["doc", "name", "line_no", "n1", "n2", "keys"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc, line_no, h1, h2, bands), in one map over the texts: bands is null for lines that always stay."""
-    names = ["doc", "line_no", "h1", "h2"]
-    hashed = _lines(docs).select(*names, F.when(F.char_length("norm") >= MIN_CHARS, _shingles(F.col("norm"))).alias("hashes"))
-    ring = hashed.select(*names, F.sort_array(F.concat(F.array_distinct("hashes"), F.array(*map(F.lit, _POINTS)))).alias("ring"))
-    reach = ROWS + BANDS  # the rows after a point, with all points between
-    whole = ring.select(*names, "ring", F.concat("ring", F.slice("ring", 1, reach)).alias("round"))
-    # points are the multiples of 2**64 / BANDS
-    after = lambda p: F.filter(F.slice("round", F.array_position("ring", p).cast("int") + 1, reach), lambda h: h.bitwiseAND((1 << 64) // BANDS - 1) != 0)
-    bands = [F.xxhash64(F.lit(k), F.slice(after(p), 1, ROWS)) for k, p in enumerate(_POINTS)]
-    return whole.select(*names, F.when(F.col("ring").isNotNull(), F.array(*bands)).alias("bands"))
-
-
-def _clusters(signed: DataFrame) -> DataFrame:
-    """(node, root): components of the links between a band's members and its smallest; a line's node is its first hash."""
-    # a key's hash has its band's number in it
-    keyed = signed.select(F.col("h1").alias("node"), F.explode("bands").alias("key"))
-    heads = keyed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail")
-    links = keyed.join(heads.drop("tail"), "key").where("node <> head").select("head", "node").distinct()
-    return components(links, "head", "node")
-
-
-def _confirmed(members: DataFrame, similarity: int) -> DataFrame:
-    """(a, b) links whose components are those of all pairs in (root, node, shingles) that reach the similarity."""
-    spark = members.sparkSession
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = materialize(members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "line-members")
-    turn = dealt.select("root", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    links, roots = spark.createDataFrame([], "a long, b long"), None
-    while True:
-        state = dealt.select("root", "node", "block", "shingles")
-        if roots is None:
-            state = state.withColumn("comp", F.col("node"))
+    """(doc, name, line_no, n1, n2, keys) of every line that is not blank; ``keys`` is empty where the same line has them elsewhere."""
+    return _lines(docs).mapInArrow(_sign, "doc long, name long, line_no int, n1 long, n2 long, keys array<long>")
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted by (key, node): members of the keys that more than one node has, under a name of the members."""
+
+    def listed(key: np.ndarray, node: np.ndarray, hot: bool) -> pa.RecordBatch:
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(np.append(start, len(key)))
+        token = np.add.reduceat(T.mix(node.view(_U)), start) if len(key) else key.view(_U)
+        name = np.repeat(T.mix(token + count.astype(_U)), count)
+        name = np.where(np.repeat(count, count) < LISTED, name, T.mix(key.view(_U)))
+        if hot:
+            name = T.mix(key.view(_U))
+        keep = np.repeat(count, count) > 1 if not hot else np.ones(len(key), bool)
+        return pa.RecordBatch.from_arrays([pa.array(name[keep].view(np.int64)), pa.array(node[keep])], names=["bucket", "node"])
+
+    held = np.empty(0, np.int64), np.empty(0, np.int64)
+    streaming = None
+    for batch in batches:
+        key, node = (np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False))) for h, c in zip(held, ("key", "node")))
+        if not len(key):
+            continue
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node = key[new], node[new]
+        last = int(np.searchsorted(key, key[-1]))
+        if streaming is not None:  # the rest of a key of which members have gone out already
+            rest = int(np.searchsorted(key, streaming, "right"))
+            yield listed(key[:rest], node[:rest], True)
+            if rest == len(key):
+                held = key[-1:], node[-1:]
+                continue
+            key, node, last, streaming = key[rest:], node[rest:], last - rest, None
+        if last:
+            yield listed(key[:last], node[:last], False)
+        held = key[last:], node[last:]
+        if len(held[0]) >= LISTED:
+            yield listed(*held, True)
+            streaming, held = held[0][-1], (held[0][-1:], held[1][-1:])
+    if len(held[0]) and streaming is None:
+        yield listed(*held, False)
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """(bucket, lo, hi, node): a bucket of several blocks once for every pair of them, each row with every other block."""
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sided = members.join(sizes, "bucket").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != F.col("side")) | (F.col("blocks") == 1))
+    met = sided.withColumn("other", F.explode(others))
+    return met.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "node")
+
+
+def forest(h: np.ndarray, at: np.ndarray, similarity: int) -> list[tuple[int, int]]:
+    """Links (row, row) that connect what all pairs at the similarity connect."""
+    size, out = np.diff(at), []
+    if len(size) == 2:
+        common = len(h) - len(np.unique(h))
+        return [(0, 1)] if 100 * common >= similarity * (len(h) - common) else []
+    ids = np.unique(h, return_inverse=True)[1].astype(np.int32)
+    mark = np.zeros(int(ids.max()) + 1, np.int32)
+    left, flat, begin = np.arange(1, len(size)), ids[at[1] :], at[1:-1] - at[1]
+    wave = [0]
+    while len(left):
+        if not wave:
+            wave, keep = [int(left[0])], np.arange(len(left)) > 0
         else:
-            state = state.join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        state = materialize(state, "line-state")
-        blocks = state.groupBy("root", "block").agg(F.collect_list(F.struct("node", "comp", "shingles")).alias("others"))
-        common = lambda y: F.size(F.array_intersect("shingles", y["shingles"])).cast("long")
-        # common / (a + b - common) >= similarity, with the intersection taken once
-        reach = lambda y: (100 + similarity) * common(y) >= similarity * (F.size("shingles") + F.size(y["shingles"]))
-        sized = lambda y: 100 * F.least(F.size("shingles"), F.size(y["shingles"])) >= similarity * F.greatest(F.size("shingles"), F.size(y["shingles"]))
-        # each pair is met once, by its smaller member
-        open_ = lambda y: (y["node"] > F.col("node")) & (y["comp"] != F.col("comp")) & sized(y)
-        found = F.filter("others", lambda y: F.when(open_(y), reach(y)).otherwise(F.lit(False)))
-        met = materialize(
-            turn.join(state.select("root", "node", "comp", "shingles"), ["root", "node"])
-            .join(blocks, ["root", "block"])
-            .select("root", "node", "block", F.transform(found, lambda y: y["node"]).alias("hits"))
-            .where(F.size("hits") > 0)
-            .select("root", "node", "block", F.array_min("hits").alias("low"), F.array_max("hits").alias("high"), (F.size("hits") > 2).alias("more")),
-            "line-met",
-        )
-        new = met.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("low", "high"))).alias("b"))
-        links = materialize(links.unionByName(new).distinct(), "line-links")
-        turn = met.where("more").select("root", "node", "block")
-        if turn.isEmpty():
-            return links
-        roots = components(links, "a", "b").withColumnRenamed("root", "comp")
-
-
-def duplicate_lines(docs: DataFrame, similarity: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(all lines: doc, line_no, h1, h2; those to remove: doc, line_no, h1)."""
-    signed = materialize(signatures(docs), "line-signatures")
-    fit = signed.where(F.col("bands").isNotNull())
-    clusters = _clusters(fit)
-    # names of two hashes: a node stands for the smallest of them, and only that one can be removed
-    places = fit.groupBy("h1", "h2").agg(F.min("doc").alias("doc"), F.count("*").alias("copies"))
-    places = materialize(places, "line-places")
-    wanted = materialize(
-        clusters.join(places.groupBy(F.col("h1").alias("node")).agg(F.min("h2").alias("h2")), "node")
-        .select("node", "root", F.col("node").alias("h1"), "h2")
-        .join(places.drop("copies"), ["h1", "h2"]),
-        "line-wanted",
-    )
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("doc", F.coalesce("doc_id", F.lit(_LAST)))
-    ids = materialize(wanted.select("doc").distinct(), "line-ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = _lines(source.join(F.broadcast(ids) if few else ids, "doc", "left_semi"))
-    members = (
-        texts.join(wanted, ["doc", "h1", "h2"])
-        .select("root", "node", F.array_distinct(_shingles(F.col("norm"))).alias("shingles"))
-        .dropDuplicates(["node"])
-    )
-    roots = components(_confirmed(members, similarity), "a", "b")
-    # groups of different lines, and copies of the same one
-    same = places.where("copies > 1").select("h1", "h2")
-    grouped = roots.join(wanted.select("node", "h1", "h2"), "node").select("h1", "h2", "root")
-    names = materialize(same.join(grouped, ["h1", "h2"], "full").select("h1", "h2", F.coalesce("root", "h1").alias("root")), "line-names")
-    lines = materialize(fit.select("doc", "line_no", "h1", "h2").join(names, ["h1", "h2"]), "line-groups")
-    firsts = lines.groupBy("root", "h2").agg(F.min(F.struct("doc", "line_no")).alias("at")).groupBy("root").agg(F.min("at").alias("at"))
-    removed = (
-        lines.join(firsts, "root")
-        .where((F.col("doc") != F.col("at.doc")) | (F.col("line_no") != F.col("at.line_no")))
-        .select("doc", "line_no", "h1")
-        .distinct()
-    )
-    return signed.select("doc", "line_no", "h1", "h2"), removed
+            one = wave.pop()
+            own = ids[at[one] : at[one + 1]]
+            mark[own] = 1
+            common = np.add.reduceat(mark[flat], begin)
+            mark[own] = 0
+            hit = 100 * common >= similarity * (size[one] + size[left] - common)
+            if not hit.any():
+                continue
+            reached = left[hit].tolist()
+            out += [(one, k) for k in reached]
+            wave += reached
+            keep = ~hit
+        flat = flat[np.repeat(keep, size[left])]
+        left = left[keep]
+        begin = np.concatenate(([0], np.cumsum(size[left])[:-1])) if len(left) else begin
+    return out
+
+
+def _verify(similarity: int):
+    def links(nodes: list[int], texts: list[str]) -> list[tuple[int, int]]:
+        return [(nodes[a], nodes[b]) for a, b in forest(*shingle_sets(texts), similarity)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes, texts, out = None, [], [], []
+        for batch in batches:
+            for unit, node, text in zip(zip(*(batch.column(c).to_pylist() for c in ("bucket", "lo", "hi"))), batch.column("node").to_pylist(), batch.column("norm").to_pylist()):
+                if unit != now:
+                    if len(nodes) > 1:
+                        out += links(nodes, texts)
+                    now, nodes, texts = unit, [], []
+                nodes.append(node)
+                texts.append(text)
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
+                out = []
+        if len(nodes) > 1:
+            out += links(nodes, texts)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
+
+    return run
+
+
+def confirmed(members: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """(a, b): forests over the buckets of (bucket, node) with the texts of (node, norm)."""
+    met = _dealt(members).join(texts, "node").select("bucket", "lo", "hi", "node", "norm")
+    dealt = met.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node")
+    return dealt.mapInArrow(_verify(similarity), "a long, b long").distinct()
+
+
+def duplicate_lines(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """(doc, name, gone): the line numbers to remove from each document that has any; a stored table."""
+    with Scratch() as s:
+        signed = s.store(signatures(docs), "line-signatures")
+        keyed = signed.where(F.size("keys") > 0).select(F.col("n1").alias("node"), F.explode("keys").alias("key"))
+        keyed = keyed.select("key", "node").repartition("key").sortWithinPartitions("key", "node")
+        members = s.store(keyed.mapInArrow(_buckets, "bucket long, node long").distinct(), "line-buckets")
+        wanted = members.select("node").distinct()
+        texts = s.store(_lines(docs).select(F.col("n1").alias("node"), "norm").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "line-texts")
+        roots = s.own(components(confirmed(members, texts, similarity), "a", "b"))
+        # a group is a component, or the copies of a line that is in none
+        grouped = signed.select("doc", "name", "line_no", "n1", "n2").join(roots, signed["n1"] == roots["node"], "left")
+        grouped = grouped.select(F.coalesce("root", "n1").alias("line"), F.when(F.col("root").isNull(), F.col("n2")).otherwise(0).alias("n2"), F.struct("doc", "line_no", "name").alias("at"))
+        grouped = s.store(grouped, "line-groups")
+        firsts = grouped.groupBy("line", "n2").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        extra = grouped.join(firsts, ["line", "n2"]).where("at <> first")
+        gone = extra.groupBy("at.doc", "at.name").agg(F.sort_array(F.collect_set("at.line_no")).alias("gone"))
+        return s.keep(s.store(gone, "line-gone"))
+
+
+def _with_gone(docs: DataFrame, similarity: int) -> DataFrame:
+    gone = duplicate_lines(docs, similarity).select(F.col("doc").alias("__doc"), F.col("name").alias("__name"), F.col("gone").alias("__gone"))
+    keyed = docs.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "__name": F.coalesce(F.xxhash64("text"), F.lit(0))})
+    return keyed.join(gone, ["__doc", "__name"], "left")
 
 
 def drop_duplicate_lines(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``docs`` with the duplicate lines taken out of ``text``; every row stays."""
-    removed = duplicate_lines(docs, similarity)[1]
-    gone = removed.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("line_no", "h1")).alias("__gone"))
-    left = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).join(gone, "__doc", "left")
-    kept = F.filter(F.split("text", "\n"), lambda line, k: ~F.array_contains("__gone", F.struct(k.alias("line_no"), F.xxhash64(_norm(line)).alias("h1"))))
+    kept = F.filter(F.split("text", "\n"), lambda line, k: ~F.array_contains("__gone", k))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return left.withColumn("text", text).select(*docs.columns)
+    return _with_gone(docs, similarity).withColumn("text", text).select(*docs.columns)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, n_lines, n_removed, removed_lines) of every document."""
-    lines, removed = duplicate_lines(documents(spark, sf_dir))
-    # summed by document on both sides first: no line is joined
-    every = lines.groupBy("doc").agg((F.max("line_no") + 1).cast("long").alias("n_lines"))
-    gone = removed.groupBy("doc").agg(F.sort_array(F.collect_set("line_no")).alias("removed_lines"))
+    """(doc_id, n_lines, n_removed, removed_lines) of every row; null texts have no lines."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     none = F.array().cast("array<int>")
-    return every.join(gone, "doc", "left").select(
-        F.when(F.col("doc") != _LAST, F.col("doc")).alias("doc_id"),
-        "n_lines",
-        F.size(F.coalesce("removed_lines", none)).cast("long").alias("n_removed"),
-        F.coalesce("removed_lines", none).alias("removed_lines"),
+    rows = _with_gone(docs.withColumn("__lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0))), SIMILARITY)
+    return rows.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.col("__lines")).cast("long").alias("n_lines"),
+        F.size(F.coalesce("__gone", none)).cast("long").alias("n_removed"),
+        F.coalesce("__gone", none).alias("removed_lines"),
     )

@@ -1,42 +1,13 @@
-"""Shared-folder materialisation.
-
-Lineage is cut with Parquet tables below the folder named by
-``spark.checkpoint.dir``: every executor reads the same files, so a lost
-executor never takes a stage's only copy with it.
-"""
+"""Tables in the shared folder; lineage is cut with Parquet that every executor can read."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from dyadlake.operators.tables import Scratch, discard, shared_dir
+from dyadlake.operators.tables import stored as materialize
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one is chosen only where none is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="dyadlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back with its lineage cut."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/dyadlake/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files of a materialised table that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["Scratch", "discard", "documents", "materialize", "shared_dir"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,50 +1,61 @@
 import random
 from itertools import combinations
 
-from pyspark.sql import functions as F
+import numpy as np
 
 from dyadlake.llm import line_dedup as ld
+from dyadlake.llm.store import materialize
 
-from helpers import AWKWARD, frame
+from helpers import AWKWARD, DOCS, frame
 
 
 def shingles(norm):
-    tokens = norm.split(" ")
-    return {(x, y[: ld.TAIL]) for x, y in zip(tokens, [*tokens[1:], ""])}
+    return {norm[k : k + 5] for k in range(max(1, len(norm) - 4))}
 
 
-def brute(rows):
+def removed(rows):
+    """{(id, text): line numbers that go} by comparing all lines with all lines."""
     lines = {}
     for d, text, *_ in rows:
         for k, line in enumerate((text or "").split("\n")):
-            norm = line.strip(" ").lower()
-            if len(norm) >= ld.MIN_CHARS:
-                lines[d, k] = (norm, shingles(norm))
-    label = {p: p for p in lines}
-    for a, b in combinations(lines, 2):
-        x, y = lines[a][1], lines[b][1]
-        n = len(x & y)
-        if lines[a][0] == lines[b][0] or n and 100 * n >= ld.SIMILARITY * (len(x) + len(y) - n):
+            if line.strip(" \t\n\x0b\x0c\r"):
+                lines[float("inf") if d is None else d, k, text] = line.strip(" ").lower()
+    sets = {x: shingles(x) for x in set(lines.values())}
+    label = {x: x for x in sets}
+    for a, b in combinations(sets, 2):
+        n = len(sets[a] & sets[b])
+        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n) and label[a] != label[b]:
             lo, hi = sorted((label[a], label[b]))
-            label = {p: lo if c == hi else c for p, c in label.items()}
-    kept = {}
-    for d, text, *_ in rows:
-        ls = (text or "").split("\n")
-        kept[d] = None if text is None else "\n".join(x for k, x in enumerate(ls) if label.get((d, k), (d, k)) == (d, k))
-    return kept
+            label = {x: lo if c == hi else c for x, c in label.items()}
+    first = {}
+    for at in sorted(lines):
+        first.setdefault(label[lines[at]], at)
+    gone = {(d, text): [] for d, text, *_ in rows}
+    for d, k, text in sorted(lines):
+        if first[label[lines[d, k, text]]] != (d, k, text):
+            gone[None if d == float("inf") else d, text].append(k)
+    return gone
+
+
+def brute(rows):
+    gone = removed(rows)
+    return {d: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[d, t]) for d, t, *_ in rows}
 
 
 def corpus(seed=2):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdefghijké") for _ in range(rng.randrange(2, 8)))
-    bases = [[word() for _ in range(rng.choice([5, 12, 40]))] for _ in range(6)]
+    bases = [[word() for _ in range(rng.choice([1, 5, 12, 40]))] for _ in range(8)]
+    bases += [["".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(60))], ["".join(rng.choice("qrstuvwx") for _ in range(47))]]
     rows = []
     for d in rng.sample(range(500), 90):
         lines = []
         for _ in range(rng.randrange(1, 6)):
-            w = list(rng.choice(bases)) if rng.random() < 0.5 else [word() for _ in range(rng.randrange(1, 30))]
+            w = list(rng.choice(bases)) if rng.random() < 0.6 else [word() for _ in range(rng.randrange(1, 30))]
             for _ in range(rng.randrange(3) if len(w) > 10 else 0):
                 w[rng.randrange(len(w))] = word()
+            if len(w) == 1 and rng.random() < 0.4:
+                w = [w[0][:-1] + rng.choice("yz")]
             lines.append(rng.choice(["", " "]) + " ".join(w) + rng.choice(["", ".", " "]))
         rows.append((d, "\n".join(lines), "en", "a", 0))
     return rows
@@ -57,6 +68,15 @@ def test_matches_brute_force(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_the_query_matches_brute_force(spark, tmp_path):
+    rows = [*((d + 1000, *r) for d, *r in corpus(seed=4)), *AWKWARD, AWKWARD[5], (None, AWKWARD[5][1], None, None, None), (4, "another text of that id\nword", None, None, None)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_lines, r.n_removed, r.removed_lines) for r in ld.op8_line_dedup(spark, str(tmp_path)).collect())
+    gone = removed(rows)
+    want = sorted((d is None, d or 0, 0 if t is None else t.count("\n") + 1, len(gone[d, t]), gone[d, t]) for d, t, *_ in rows)
+    assert got == want
+
+
 def test_awkward_rows_pass_through(spark):
     df = frame(spark)
     got = ld.drop_duplicate_lines(df)
@@ -68,5 +88,57 @@ def test_awkward_rows_pass_through(spark):
 def test_rows_repeated_in_full_stay_alike(spark):
     row = (3, "a line of some length that is here twice\nshort", None, None, None)
     got = ld.drop_duplicate_lines(frame(spark, [row, row, (None, row[1], None, None, None)])).collect()
-    assert sorted(((r.doc_id or 0), r.text) for r in got) == [(0, "short"), (3, row[1]), (3, row[1])]
-    assert ld.signatures(frame(spark, [row])).where(F.col("bands").isNull()).count() == 1
+    assert sorted(((r.doc_id or 0), r.text) for r in got) == [(0, ""), (3, row[1]), (3, row[1])]
+
+
+def test_scripts_without_spaces(spark):
+    a = "".join(chr(0x4E00 + 37 * k) for k in range(60))
+    b = "abcdefghijklmnopqrstuvwxyzabcdefghijklmnopqrstu"
+    rows = [(1, a), (2, a[:30] + "漢" + a[31:]), (3, b), (4, b[:-1] + "!"), (5, "ab"), (6, "AB "), (7, "x")]
+    got = {r.doc_id: r.text for r in ld.drop_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: a, 2: "" if 51 * 100 >= 85 * 61 else rows[1][1], 3: b, 4: "", 5: "ab", 6: "", 7: "x"}
+
+
+def test_forest_connects_what_all_pairs_connect():
+    rng = random.Random(3)
+    for _ in range(30):
+        base = "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 120)))
+        lines = list({base[:k] + rng.choice("xyz") + base[k + 1 :] for k in (rng.randrange(len(base)) for _ in range(20))} | {base})
+        links = ld.forest(*ld.shingle_sets(lines), 85)
+        label = list(range(len(lines)))
+        for a, b in combinations(range(len(lines)), 2):
+            x, y = shingles(lines[a]), shingles(lines[b])
+            if 100 * len(x & y) >= 85 * len(x | y):
+                label = [label[a] if c == label[b] else c for c in label]
+        got = list(range(len(lines)))
+        for a, b in links:
+            got = [got[a] if c == got[b] else c for c in got]
+        assert [label.index(c) for c in label] == [got.index(c) for c in got]
+
+
+def test_bands_are_those_of_the_ring():
+    lines = ["hello there, this is a line", "é", "漢字漢字漢字", "ab" * 300]
+    h, at = ld.shingle_sets(lines)
+    assert [int(n) for n in np.diff(at)] == [len(shingles(x)) for x in lines]
+    keys = ld.band_keys(lines)
+    assert keys.shape == (4, ld.BANDS) and (ld.band_keys(lines[::-1])[::-1] == keys).all()
+
+
+def test_hot_bucket_streams(spark, monkeypatch):
+    monkeypatch.setattr(ld, "LISTED", 16)
+    import pyarrow as pa
+
+    rows = [(1, 5), (1, 6), (2, 7)] + [(3, k) for k in range(100)] + [(4, 1), (4, 1), (4, 2), (9, 8)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows[i : i + 7]], pa.int64()), pa.array([n for _, n in rows[i : i + 7]], pa.int64())], names=["key", "node"]) for i in range(0, len(rows), 7)]
+    got = {}
+    for b in ld._buckets(iter(batches)):
+        for bucket, node in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            got.setdefault(bucket, set()).add(node)
+    assert sorted(map(sorted, got.values())) == sorted([[5, 6], list(range(100)), [1, 2]])
+
+
+def test_leaves_no_tables_behind(spark, tmp_path):
+    spark.createDataFrame(corpus(seed=9), DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = materialize(ld.drop_duplicate_lines(docs), "t")
+    assert kept.count() == docs.count()
