@@ -1,4 +1,4 @@
-"""Line dedup (operator 8): fuzzy lines by MinHash.
+"""Line dedup (operator 8, native): fuzzy lines by MinHash.
 
 1. A line's normal form (lower case, no spaces at its ends) is a set of
    character shingles: every run of ``SHINGLE`` code points, at every position;
@@ -8,37 +8,30 @@
    (one-permutation MinHash in which no range is empty).
 3. High-recall banding: lines that share a band are candidates.  At similarity
    0.85 a pair misses all bands with probability 9e-4.  Equal lines are one
-   node, and buckets with the same members are one bucket.
-4. Exact Jaccard verification of all pairs of a bucket on the full shingle sets.
-   A bucket passes on a spanning forest of its confirmed links, so links are
-   linear in its rows.  Buckets above ``BLOCK`` members are dealt as pairs of
-   blocks: no task holds one whole, none is capped and no pair is a row.
+   node, signed once.
+4. Exact Jaccard verification on full shingle sets, in two steps.  Every member
+   of a bucket meets its smallest and its largest node: links linear in the
+   rows.  Their components leave few buckets with members of several; of those,
+   the members that were no end meet one another inside a join whose condition
+   is the similarity itself, so that only confirmed links are rows.  Buckets
+   with the same members are one, and those above ``BLOCK`` members are dealt as
+   pairs of blocks: no task holds one whole and no pair is skipped.
 5. Distributed union-find; a component keeps its line of the smallest (doc_id,
    line number).
 
-Signatures and verification are Arrow batches: at every position, expressions
-alone take more than the whole budget (README).  Splitting, normal forms,
-names, joins, aggregates and union-find are DataFrame operations.
-
-Blank lines always stay; every other line takes part, however short.  Null
-texts have no lines to remove and stay null.  A null id counts as the largest.
-Rows that share an id and a text count as one document and keep the same lines;
-rows that share an id alone are documents of their own.  A line's shingles must
-fit in a task's memory.  Extra columns of the input are not read, and pass
-through ``drop_duplicate_lines``.
+DataFrame operations only.  Blank lines always stay; every other line takes
+part, however short.  Null texts have no lines to remove and stay null.  A null
+id counts as the largest.  Rows that share an id and a text count as one
+document and keep the same lines; rows that share an id alone are documents of
+their own.  A line's shingles must fit in a task's memory.  Extra columns of the
+input are not read, and pass through ``drop_duplicate_lines``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import textops as T
 from .components import components
 from .store import Scratch, documents
 
@@ -46,16 +39,9 @@ SIMILARITY = 85
 SHINGLE = 5
 BANDS, ROWS = 12, 5
 BLOCK = 1024
-#: Code points whose shingles are hashed together, and line names a worker remembers.
-CODES = 1 << 19
-MEMO = 1 << 19
-#: Members from which a bucket goes by its key alone, so that a task need not hold its list.
-LISTED = 1 << 16
 
-_U = np.uint64
 _LAST = (1 << 63) - 1
-_STEP = _U(0x9E3779B97F4A7C15)
-_POINTS = np.array([(k << 64) // BANDS for k in range(BANDS)], dtype=object).astype(_U)
+_POINTS = [-(1 << 63) + k * (1 << 64) // BANDS for k in range(BANDS)]
 
 
 def _norm(line: Column) -> Column:
@@ -74,208 +60,85 @@ def _lines(docs: DataFrame) -> DataFrame:
     return named.select("doc", "name", "line_no", F.xxhash64("norm").alias("n1"), F.xxhash64(F.lit(SHINGLE), "norm").alias("n2"), "norm")
 
 
-def shingle_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of all lines one after another, and where each line's begin."""
-    codes = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") for x in lines]
-    sizes = np.array([len(c) for c in codes], np.int64)
-    padded = np.zeros(int(sizes.sum()) + SHINGLE - 1, _U)
-    np.concatenate(codes, out=padded[: len(padded) - SHINGLE + 1], casting="same_kind")
-    # a window that leaves its line is one of a shorter line, which has no other
-    n = len(padded) - SHINGLE + 1
-    ends = np.cumsum(sizes)
-    counts = np.maximum(sizes - SHINGLE + 1, 1)
-    h = padded[:n].copy()
-    for k in range(1, SHINGLE):
-        h *= _STEP
-        h += padded[k : n + k]
-    short = np.flatnonzero(sizes < SHINGLE)
-    for k in short:
-        value = 0
-        for c in codes[k].tolist():
-            value = (value * int(_STEP) + c + 1) & 0xFFFFFFFFFFFFFFFF
-        h[ends[k] - sizes[k]] = value ^ (len(codes[k]) << 60)
-    h = T.mix(h)
-    starts = ends - sizes
-    keep = np.zeros(n + 1, np.int8)
-    keep[starts] += 1
-    keep[starts + counts] -= 1
-    h = h[np.cumsum(keep[:-1], dtype=np.int8) > 0]
-    at = np.concatenate(([0], np.cumsum(counts)))
-    for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
-        if e - s > 1:
-            h[s:e].sort()
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    new[at[:-1]] = True
-    return h[new], np.concatenate(([0], np.cumsum(np.add.reduceat(new, at[:-1], dtype=np.int64))))
-
-
-def band_keys(lines: list[str]) -> np.ndarray:
-    """[lines, BANDS]: what names a line's band, the band's number in it."""
-    h, at = shingle_sets(lines)
-    first = np.empty((len(lines), BANDS), np.int64)
-    for k, (s, e) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
-        first[k] = h[s:e].searchsorted(_POINTS)
-    size = np.diff(at)[:, None]
-    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=_U), first.shape).copy()
-    for j in range(ROWS):
-        keys = T.mix(keys * _STEP + h[at[:-1, None] + (first + j) % size])
-    return keys
-
-
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A line's bands where the task meets its name for the first time, else null."""
-    seen: set[int] = set()
-    for whole in batches:
-        at = 0
-        while at < whole.num_rows:
-            sizes = np.cumsum(pc.binary_length(whole.column("norm").slice(at)).to_numpy(), dtype=np.int64)
-            batch = whole.slice(at, max(1, int(np.searchsorted(sizes, CODES))))
-            at += batch.num_rows
-            names, todo, lines = batch.column("n1").to_pylist(), [], []
-            if len(seen) + len(names) > MEMO:
-                seen.clear()
-            for k, name in enumerate(names):
-                if name not in seen:
-                    seen.add(name)
-                    todo.append(k)
-            norms = batch.column("norm").take(pa.array(todo, pa.int64())).to_pylist()
-            has = np.zeros(len(names), np.int32)
-            has[todo] = BANDS
-            values = band_keys(norms).ravel().view(np.int64) if norms else np.empty(0, np.int64)
-            keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(has))), pa.int32()), pa.array(values))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc", "name", "line_no", "n1", "n2")), keys], names=["doc", "name", "line_no", "n1", "n2", "keys"])
+def _shingles(norm: Column) -> Column:
+    """Distinct hashes of a line's shingles."""
+    every = F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
+    return F.array_distinct(F.transform(F.when(F.char_length(norm) < SHINGLE, F.array(norm)).otherwise(every), lambda g: F.xxhash64(g)))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc, name, line_no, n1, n2, keys) of every line that is not blank; ``keys`` is empty where the same line has them elsewhere."""
-    return _lines(docs).mapInArrow(_sign, "doc long, name long, line_no int, n1 long, n2 long, keys array<long>")
-
-
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted by (key, node): members of the keys that more than one node has, under a name of the members."""
-
-    def listed(key: np.ndarray, node: np.ndarray, hot: bool) -> pa.RecordBatch:
-        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        count = np.diff(np.append(start, len(key)))
-        token = np.add.reduceat(T.mix(node.view(_U)), start) if len(key) else key.view(_U)
-        name = np.repeat(T.mix(token + count.astype(_U)), count)
-        name = np.where(np.repeat(count, count) < LISTED, name, T.mix(key.view(_U)))
-        if hot:
-            name = T.mix(key.view(_U))
-        keep = np.repeat(count, count) > 1 if not hot else np.ones(len(key), bool)
-        return pa.RecordBatch.from_arrays([pa.array(name[keep].view(np.int64)), pa.array(node[keep])], names=["bucket", "node"])
-
-    held = np.empty(0, np.int64), np.empty(0, np.int64)
-    streaming = None
-    for batch in batches:
-        key, node = (np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False))) for h, c in zip(held, ("key", "node")))
-        if not len(key):
-            continue
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node = key[new], node[new]
-        last = int(np.searchsorted(key, key[-1]))
-        if streaming is not None:  # the rest of a key of which members have gone out already
-            rest = int(np.searchsorted(key, streaming, "right"))
-            yield listed(key[:rest], node[:rest], True)
-            if rest == len(key):
-                held = key[-1:], node[-1:]
-                continue
-            key, node, last, streaming = key[rest:], node[rest:], last - rest, None
-        if last:
-            yield listed(key[:last], node[:last], False)
-        held = key[last:], node[last:]
-        if len(held[0]) >= LISTED:
-            yield listed(*held, True)
-            streaming, held = held[0][-1], (held[0][-1:], held[1][-1:])
-    if len(held[0]) and streaming is None:
-        yield listed(*held, False)
-
-
-def _dealt(members: DataFrame) -> DataFrame:
-    """(bucket, lo, hi, node): a bucket of several blocks once for every pair of them, each row with every other block."""
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    sided = members.join(sizes, "bucket").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    """(doc, name, line_no, n1, n2, keys) of every line that is not blank, in one map over the texts."""
+    names = ["doc", "name", "line_no", "n1", "n2"]
+    points, reach = F.array(*map(F.lit, _POINTS)), ROWS + BANDS  # the rows after a point, with all points between
+    hashed = _lines(docs).select(*names, _shingles(F.col("norm")).alias("hashes"))
+    ring = hashed.select(*names, F.sort_array(F.concat(F.array_except("hashes", points), points)).alias("ring"))
+    whole = ring.select(*names, "ring", F.concat("ring", F.slice("ring", 1, reach)).alias("round"))
+    after = lambda p: F.array_except(F.slice("round", F.array_position("ring", p).cast("int") + 1, reach), points)
+    # a band's number is in its key
+    keys = [F.xxhash64(F.lit(k), F.slice(after(p), 1, ROWS)) for k, p in enumerate(_POINTS)]
+    return whole.select(*names, F.array(*keys).alias("keys"))
+
+
+def _buckets(signed: DataFrame) -> DataFrame:
+    """(key, node, low, high, n): members of the keys that more than one node has, with the key's ends and size."""
+    nodes = signed.groupBy(F.col("n1").alias("node")).agg(F.min("keys").alias("keys"))
+    keyed = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
+    ends = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low < high")
+    return keyed.join(ends, "key")
+
+
+def _alike(x: Column, y: Column, similarity: int) -> Column:
+    """common / (x + y - common) >= similarity of two sets, the intersection taken once."""
+    return (100 + similarity) * F.size(F.array_intersect(x, y)).cast("long") >= similarity * (F.size(x) + F.size(y))
+
+
+def _ends_links(members: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
+    """(a, b): confirmed links of every member with the ends of its bucket."""
+    pair = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    links = members.select(F.explode(F.array(pair("low", "node"), pair("node", "high"))).alias("l")).select("l.*").where("a < b").distinct()
+    side = lambda c, t: texts.select(F.col("node").alias(c), F.col("norm").alias(t))
+    met = links.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    # both sets are bound once; a predicate on columns of theirs would be evaluated for each use
+    sets = F.array(F.struct(_shingles(F.col("x")).alias("x"), _shingles(F.col("y")).alias("y")))
+    return met.where(F.exists(sets, lambda p: _alike(p["x"], p["y"], similarity))).select("a", "b")
+
+
+def _inner_links(members: DataFrame, texts: DataFrame, roots: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
+    """(a, b): confirmed links between the members that are no ends, where the ends have not connected them."""
+    inner = members.where("n > 3 and node <> low and node <> high").select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    inner = scratch.store(inner, "line-inner")
+    open_ = inner.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.bit_xor(F.xxhash64("node")).alias("bucket"), F.count("*").alias("n")).where("x < y")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    # buckets of the same members are one
+    dealt = inner.join(open_.select("key", "bucket", blocks.alias("blocks")), "key").select("bucket", "blocks", "node", "root").distinct()
+    dealt = dealt.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != F.col("side")) | (F.col("blocks") == 1))
-    met = sided.withColumn("other", F.explode(others))
-    return met.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "node")
-
-
-def forest(h: np.ndarray, at: np.ndarray, similarity: int) -> list[tuple[int, int]]:
-    """Links (row, row) that connect what all pairs at the similarity connect."""
-    size, out = np.diff(at), []
-    if len(size) == 2:
-        common = len(h) - len(np.unique(h))
-        return [(0, 1)] if 100 * common >= similarity * (len(h) - common) else []
-    ids = np.unique(h, return_inverse=True)[1].astype(np.int32)
-    mark = np.zeros(int(ids.max()) + 1, np.int32)
-    left, flat, begin = np.arange(1, len(size)), ids[at[1] :], at[1:-1] - at[1]
-    wave = [0]
-    while len(left):
-        if not wave:
-            wave, keep = [int(left[0])], np.arange(len(left)) > 0
-        else:
-            one = wave.pop()
-            own = ids[at[one] : at[one + 1]]
-            mark[own] = 1
-            common = np.add.reduceat(mark[flat], begin)
-            mark[own] = 0
-            hit = 100 * common >= similarity * (size[one] + size[left] - common)
-            if not hit.any():
-                continue
-            reached = left[hit].tolist()
-            out += [(one, k) for k in reached]
-            wave += reached
-            keep = ~hit
-        flat = flat[np.repeat(keep, size[left])]
-        left = left[keep]
-        begin = np.concatenate(([0], np.cumsum(size[left])[:-1])) if len(left) else begin
-    return out
-
-
-def _verify(similarity: int):
-    def links(nodes: list[int], texts: list[str]) -> list[tuple[int, int]]:
-        return [(nodes[a], nodes[b]) for a, b in forest(*shingle_sets(texts), similarity)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, nodes, texts, out = None, [], [], []
-        for batch in batches:
-            for unit, node, text in zip(zip(*(batch.column(c).to_pylist() for c in ("bucket", "lo", "hi"))), batch.column("node").to_pylist(), batch.column("norm").to_pylist()):
-                if unit != now:
-                    if len(nodes) > 1:
-                        out += links(nodes, texts)
-                    now, nodes, texts = unit, [], []
-                nodes.append(node)
-                texts.append(text)
-            if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
-                out = []
-        if len(nodes) > 1:
-            out += links(nodes, texts)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
-
-    return run
-
-
-def confirmed(members: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """(a, b): forests over the buckets of (bucket, node) with the texts of (node, norm)."""
-    met = _dealt(members).join(texts, "node").select("bucket", "lo", "hi", "node", "norm")
-    dealt = met.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node")
-    return dealt.mapInArrow(_verify(similarity), "a long, b long").distinct()
+    dealt = dealt.withColumn("other", F.explode(others)).select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "node", "root")
+    unit = ["bucket", "lo", "hi"]
+    # texts travel, sets are made where they are compared
+    rows = dealt.join(texts, "node").select(*unit, "node", "root", "norm").repartition(*unit)
+    side = lambda c: rows.select(*unit, F.col("node").alias(c), F.col("root").alias(f"root_{c}"), _shingles(F.col("norm")).alias(f"set_{c}"))
+    met = side("a").join(side("b"), unit)
+    sized = 100 * F.least(F.size("set_a"), F.size("set_b")) >= similarity * F.greatest(F.size("set_a"), F.size("set_b"))
+    return met.where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & sized & _alike(F.col("set_a"), F.col("set_b"), similarity)).select("a", "b")
+
+
+def confirmed(members: DataFrame, texts: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
+    """(a, b): links whose components are those of all pairs of a bucket that reach the similarity; a stored table."""
+    ends = scratch.store(_ends_links(members, texts, similarity), "line-links")
+    roots = scratch.own(components(ends, "a", "b"))
+    inner = scratch.store(_inner_links(members, texts, roots, similarity, scratch).distinct(), "line-links")
+    return ends.unionByName(inner)
 
 
 def duplicate_lines(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(doc, name, gone): the line numbers to remove from each document that has any; a stored table."""
     with Scratch() as s:
         signed = s.store(signatures(docs), "line-signatures")
-        keyed = signed.where(F.size("keys") > 0).select(F.col("n1").alias("node"), F.explode("keys").alias("key"))
-        keyed = keyed.select("key", "node").repartition("key").sortWithinPartitions("key", "node")
-        members = s.store(keyed.mapInArrow(_buckets, "bucket long, node long").distinct(), "line-buckets")
+        members = s.store(_buckets(signed), "line-buckets")
         wanted = members.select("node").distinct()
         texts = s.store(_lines(docs).select(F.col("n1").alias("node"), "norm").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "line-texts")
-        roots = s.own(components(confirmed(members, texts, similarity), "a", "b"))
+        roots = s.own(components(confirmed(members, texts, similarity, s), "a", "b"))
         # a group is a component, or the copies of a line that is in none
         grouped = signed.select("doc", "name", "line_no", "n1", "n2").join(roots, signed["n1"] == roots["node"], "left")
         grouped = grouped.select(F.coalesce("root", "n1").alias("line"), F.when(F.col("root").isNull(), F.col("n2")).otherwise(0).alias("n2"), F.struct("doc", "line_no", "name").alias("at"))

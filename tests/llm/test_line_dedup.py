@@ -1,10 +1,9 @@
 import random
 from itertools import combinations
 
-import numpy as np
-
 from dyadlake.llm import line_dedup as ld
-from dyadlake.llm.store import materialize
+from dyadlake.llm.components import components
+from dyadlake.llm.store import Scratch, materialize
 
 from helpers import AWKWARD, DOCS, frame
 
@@ -99,42 +98,27 @@ def test_scripts_without_spaces(spark):
     assert got == {1: a, 2: "" if 51 * 100 >= 85 * 61 else rows[1][1], 3: b, 4: "", 5: "ab", 6: "", 7: "x"}
 
 
-def test_forest_connects_what_all_pairs_connect():
-    rng = random.Random(3)
-    for _ in range(30):
-        base = "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 120)))
-        lines = list({base[:k] + rng.choice("xyz") + base[k + 1 :] for k in (rng.randrange(len(base)) for _ in range(20))} | {base})
-        links = ld.forest(*ld.shingle_sets(lines), 85)
-        label = list(range(len(lines)))
-        for a, b in combinations(range(len(lines)), 2):
-            x, y = shingles(lines[a]), shingles(lines[b])
-            if 100 * len(x & y) >= 85 * len(x | y):
-                label = [label[a] if c == label[b] else c for c in label]
-        got = list(range(len(lines)))
-        for a, b in links:
-            got = [got[a] if c == got[b] else c for c in got]
-        assert [label.index(c) for c in label] == [got.index(c) for c in got]
-
-
-def test_bands_are_those_of_the_ring():
-    lines = ["hello there, this is a line", "é", "漢字漢字漢字", "ab" * 300]
-    h, at = ld.shingle_sets(lines)
-    assert [int(n) for n in np.diff(at)] == [len(shingles(x)) for x in lines]
-    keys = ld.band_keys(lines)
-    assert keys.shape == (4, ld.BANDS) and (ld.band_keys(lines[::-1])[::-1] == keys).all()
-
-
-def test_hot_bucket_streams(spark, monkeypatch):
-    monkeypatch.setattr(ld, "LISTED", 16)
-    import pyarrow as pa
-
-    rows = [(1, 5), (1, 6), (2, 7)] + [(3, k) for k in range(100)] + [(4, 1), (4, 1), (4, 2), (9, 8)]
-    batches = [pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows[i : i + 7]], pa.int64()), pa.array([n for _, n in rows[i : i + 7]], pa.int64())], names=["key", "node"]) for i in range(0, len(rows), 7)]
-    got = {}
-    for b in ld._buckets(iter(batches)):
-        for bucket, node in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            got.setdefault(bucket, set()).add(node)
-    assert sorted(map(sorted, got.values())) == sorted([[5, 6], list(range(100)), [1, 2]])
+def test_signatures_follow_the_sets(spark):
+    """Bands depend on the set of shingles alone, and lines under the similarity seldom share one."""
+    rows = [(1, "hello there, this is a line\nab" + "ab" * 300 + "\n" + "ab" * 200 + "\né")]
+    got = {r.line_no: r["keys"] for r in ld.signatures(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(len(k) == ld.BANDS for k in got.values()) and got[1] == got[2] and not set(got[0]) & set(got[1])
+
+
+def test_inner_members_meet_in_blocks(spark, monkeypatch):
+    """Two families whose ends lie in neither: only the members between can connect them."""
+    for block in (1024, 4):
+        monkeypatch.setattr(ld, "BLOCK", block)
+        rng = random.Random(5)
+        line = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+        a, b = line(160), line(160)
+        family = [a[:k] + "!" + a[k + 1 :] for k in (5, 25, 45, 65)] + [b[:k] + "?" + b[k + 1 :] for k in (5, 25, 45, 65)]
+        texts = dict(enumerate(["x" * 50, *family, "y" * 50]))
+        members = spark.createDataFrame([(7, n, 0, 9, 10) for n in texts], "key long, node long, low long, high long, n long")
+        with Scratch() as s:
+            links = ld.confirmed(members, spark.createDataFrame(list(texts.items()), "node long, norm string"), 85, s)
+            got = {r.node: r.root for r in components(links, "a", "b").collect()}
+        assert got == {**dict.fromkeys(range(1, 5), 1), **dict.fromkeys(range(5, 9), 5)}
 
 
 def test_leaves_no_tables_behind(spark, tmp_path):
