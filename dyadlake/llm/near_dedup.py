@@ -4,16 +4,15 @@
    128-bit name of its shingle set and a signature of ``SYMBOLS`` minima, 16
    bits of each.  Documents of the same set are one class from here on, so
    copies cost nothing further and lose no link.
-2. The first ``CHUNKS * WIDTH`` symbols are split into chunks.  By pigeonhole
-   two signatures that differ in fewer than ``CHUNKS * (ERRORS + 1)`` of them
-   share a chunk with at most ``ERRORS`` wrong symbols; each chunk is indexed
-   once for every way to leave ``ERRORS`` symbols out, so every such pair meets
-   in a bucket.  (At similarity 0.75 a pair misses all buckets with probability
-   1.2e-4, and less above.)
+2. A signature is split into ``CHUNKS`` chunks of ``WIDTH`` symbols.  By
+   pigeonhole two signatures that differ in at most ``MAX_WRONG`` symbols, fewer
+   than two a chunk, share a chunk with at most one wrong symbol; each chunk is
+   indexed once for every way to leave a symbol out, so every pair under the
+   threshold meets in a bucket.  (At similarity 0.75 a pair is above the
+   threshold with probability 2e-5, and less above.)
 3. Inside a bucket, signatures are compared in vectorised rows, and the bucket
    passes on a spanning forest of its near pairs: those whose set sizes allow
-   the similarity and whose whole signatures differ in at most ``MAX_WRONG``
-   symbols.  The union of the forests gives coarse clusters that hold every
+   the similarity and whose signatures differ in at most ``MAX_WRONG`` symbols.  The union of the forests gives coarse clusters that hold every
    near pair, from a number of links linear in the bucket's rows.
 4. Links are confirmed on full shingle sets inside each coarse cluster, closest
    pairs first, and only between members not yet connected.  What leaves a task
@@ -40,14 +39,14 @@ from pyspark.sql import functions as F
 
 from . import textops as T
 from .components import components
-from .store import documents, materialize
+from .store import Scratch, discard, documents
 
 WORDS = 5
 SIMILARITY = 75
-SYMBOLS = 96
-CHUNKS, WIDTH, ERRORS = 9, 5, 1
-#: Wrong symbols of 96 up to which a pair is confirmed on full sets: 4.2 standard deviations above 24, the mean at 0.75.
-MAX_WRONG = 42
+CHUNKS, WIDTH = 16, 4
+SYMBOLS = CHUNKS * WIDTH
+#: Wrong symbols up to which a pair is confirmed on full sets: the most that leave a chunk with one error or none, and 4.3 standard deviations above 16, the mean at 0.75.
+MAX_WRONG = 2 * CHUNKS - 1
 BLOCK = 2048
 CLUSTER = 512
 CLUSTER_SHINGLES = 1_000_000
@@ -76,22 +75,21 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def index_keys(signatures: np.ndarray) -> np.ndarray:
-    """[n, CHUNKS * WIDTH] bucket keys: chunk c with symbol p left out at column c * WIDTH + p."""
-    out = np.empty((len(signatures), CHUNKS * WIDTH), np.uint64)
+    """[n, SYMBOLS] bucket keys: chunk c with symbol p left out at column c * WIDTH + p."""
+    out = np.empty((len(signatures), SYMBOLS), np.uint64)
     for c in range(CHUNKS):
         chunk = signatures[:, c * WIDTH : (c + 1) * WIDTH].astype(np.uint64)
         for p in range(WIDTH):
             left = np.delete(chunk, p, axis=1)
-            packed = left[:, 0] | left[:, 1] << np.uint64(16) | left[:, 2] << np.uint64(32) | left[:, 3] << np.uint64(48)
-            # a bijection of the four symbols for each column: keys of one column never collide
-            out[:, c * WIDTH + p] = T.mix(packed + np.uint64((c * WIDTH + p) * 0x9E3779B97F4A7C15 % (1 << 64)))
+            # three symbols and the column, side by side: keys are equal only where all of them are
+            out[:, c * WIDTH + p] = T.mix(left[:, 0] | left[:, 1] << np.uint64(16) | left[:, 2] << np.uint64(32) | np.uint64(c * WIDTH + p) << np.uint64(48))
     return out
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     row = TaskContext.get().partitionId() << 36
     for batch in batches:
-        ids, sizes, names, signatures, seen = batch.column("doc_id"), [], [], [], {}
+        sizes, names, signatures, seen = [], [], [], {}
         for text in batch.column("text"):
             shingles = shingle_set(text.as_py())
             sizes.append(len(shingles))
@@ -104,10 +102,10 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     seen[name] = signature(shingles).tobytes()
                 signatures.append(seen[name])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(row, row + len(ids)), pa.int64()), ids, pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(signatures, pa.binary())],
-            names=["row", "doc_id", "n_shingles", "name", "signature"],
+            [pa.array(range(row, row + len(sizes)), pa.int64()), batch.column("doc_id"), batch.column("text_name"), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(signatures, pa.binary())],
+            names=["row", "doc_id", "text_name", "n_shingles", "name", "signature"],
         )
-        row += len(ids)
+        row += len(sizes)
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,8 +115,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signatures = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(-1, SYMBOLS)
             keys = index_keys(signatures)
             nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), keys.shape[1])
-            slots = np.tile(np.arange(keys.shape[1], dtype=np.int8), len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(slots), pa.array(nodes)], names=["key", "slot", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(nodes)], names=["key", "node"])
 
 
 def _near(sig: np.ndarray, size: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
@@ -191,17 +188,17 @@ def _bucket_links(t: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator
     yield _links(out)
 
 
-def near_links(classes: DataFrame) -> DataFrame:
+def near_links(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): forests over the buckets that connect every near pair of (node, n_shingles, signature) rows."""
-    keyed = classes.select("node", "signature").mapInArrow(_keys, "key long, slot byte, node long")
-    shared = keyed.groupBy("key", "slot").agg(F.count("*").alias("members"), F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
-    met = materialize(keyed.join(shared.select("key", "slot", "members"), ["key", "slot"]), "near-buckets")
+    keyed = classes.select("node", "signature").mapInArrow(_keys, "key long, node long")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
+    met = scratch.store(keyed.join(shared.select("key", "members"), "key"), "near-buckets")
     return (
-        _dealt(met, F.ceil(F.col("members") / BLOCK), "node", ["key", "slot"])
+        _dealt(met, F.ceil(F.col("members") / BLOCK), "node", ["key"])
         .join(classes, "node")
-        .repartition("key", "slot", "lo", "hi")
-        .sortWithinPartitions("key", "slot", "lo", "hi", "node")
-        .mapInArrow(_grouped(("key", "slot", "lo", "hi"), _bucket_links), "a long, b long")
+        .repartition("key", "lo", "hi")
+        .sortWithinPartitions("key", "lo", "hi", "node")
+        .mapInArrow(_grouped(("key", "lo", "hi"), _bucket_links), "a long, b long")
         .distinct()
     )
 
@@ -275,53 +272,56 @@ def _confirm(similarity: int):
 
 
 def near_dedup(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """(row, doc_id, n_shingles, component_id, kept); ``row`` tells rows of the same id apart."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = materialize(source.mapInArrow(_describe, "row long, doc_id long, n_shingles long, name binary, signature binary"), "near-described")
-    classes = materialize(
-        described.where(F.col("n_shingles") > 0)
-        .groupBy("name")
-        .agg(F.min(F.struct("row", "doc_id")).alias("head"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
-        .select("name", F.col("head.row").alias("node"), F.col("head.doc_id").alias("head_id"), "n_shingles", "signature"),
-        "near-classes",
-    )
-    near = components(near_links(classes.select("node", "n_shingles", "signature")), "a", "b")
-    wanted = materialize(near.join(classes, "node"), "near-wanted")
-    sets = (
-        source.join(wanted.select("node", "name", "head_id"), source["doc_id"].eqNullSafe(F.col("head_id")))
-        .select("node", "name", "text")
-        .mapInArrow(_sets, "node long, shingles array<long>")
-        .dropDuplicates(["node"])
-    )
-    clusters = wanted.groupBy("root").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles_in"))
-    blocks = F.ceil(F.greatest(F.col("members") / CLUSTER, F.col("shingles_in") / CLUSTER_SHINGLES))
-    links = (
-        _dealt(wanted.select("node", "root").join(clusters, "root"), blocks, "node", ["root"])
-        .join(wanted.select("node", "n_shingles", "signature"), "node")
-        .join(sets, "node")
-        .repartition("root", "lo", "hi")
-        .sortWithinPartitions("root", "lo", "hi", "node")
-        .mapInArrow(_grouped(("root", "lo", "hi"), _confirm(similarity)), "a long, b long")
-    )
-    roots = components(links, "a", "b")
-    rooted = materialize(
-        classes.select("node", "name", "head_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "near-roots"
-    )
-    # the smallest id of a class is not its head's when rows are not in id order
-    least = described.where(F.col("name").isNotNull()).groupBy("name").agg(F.min("doc_id").alias("low"))
-    labels = rooted.join(least, "name")
-    lowest = labels.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = labels.join(lowest, "root").select("name", "root", "component_id")
-    firsts = described.join(named, "name", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    """(row, doc_id, n_shingles, component_id, kept); ``row`` tells rows of the same id apart.  Reads two stored tables."""
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_name"), "text")
+    with Scratch() as s:
+        described = s.store(source.mapInArrow(_describe, "row long, doc_id long, text_name long, n_shingles long, name binary, signature binary"), "near-described")
+        classes = s.store(
+            described.where(F.col("n_shingles") > 0)
+            .groupBy("name")
+            .agg(F.min(F.struct("row", "doc_id", "text_name")).alias("head"), F.min("doc_id").alias("low"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
+            .select("name", F.col("head.row").alias("node"), F.col("head.doc_id").alias("head_id"), F.col("head.text_name").alias("text_name"), "low", "n_shingles", "signature"),
+            "near-classes",
+        )
+        near = s.own(components(near_links(classes.select("node", "n_shingles", "signature"), s), "a", "b"))
+        wanted = s.store(near.join(classes, "node"), "near-wanted")
+        # by id and by what names the text, so that rows without an id are no single key
+        heads = wanted.select("node", "name", F.col("head_id").alias("id"), F.col("text_name").alias("tn"))
+        sets = (
+            source.join(heads, (F.col("text_name") == F.col("tn")) & F.col("doc_id").eqNullSafe(F.col("id")))
+            .select("node", "name", "text")
+            .mapInArrow(_sets, "node long, shingles array<long>")
+            .dropDuplicates(["node"])
+        )
+        clusters = wanted.groupBy("root").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles_in"))
+        blocks = F.ceil(F.greatest(F.col("members") / CLUSTER, F.col("shingles_in") / CLUSTER_SHINGLES))
+        links = (
+            _dealt(wanted.select("node", "root").join(clusters, "root"), blocks, "node", ["root"])
+            .join(wanted.select("node", "n_shingles", "signature"), "node")
+            .join(sets, "node")
+            .repartition("root", "lo", "hi")
+            .sortWithinPartitions("root", "lo", "hi", "node")
+            .mapInArrow(_grouped(("root", "lo", "hi"), _confirm(similarity)), "a long, b long")
+        )
+        roots = s.own(components(links, "a", "b"))
+        labels = classes.select("name", "node", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        # the smallest id of a class is not its head's when rows are not in id order
+        lowest = labels.groupBy("root").agg(F.min("low").alias("component_id"))
+        named = s.keep(s.store(labels.join(lowest, "root").select("name", "component_id"), "near-named"))
+        slim = s.keep(s.store(described.select("row", "doc_id", "n_shingles", "name"), "near-rows"))
+    firsts = slim.join(named, "name", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return firsts.select("row", "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``docs`` with one document, the one of the smallest id, of each component; rows without an id always stay."""
-    judged = materialize(near_dedup(docs, similarity).select("doc_id", "kept"), "near-judged")
-    gone = judged.where("not kept and doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
+    with Scratch() as s:
+        found = near_dedup(docs, similarity)
+        judged = s.store(found.select("doc_id", "kept"), "near-judged")
+        discard(found)
+        gone = s.keep(s.store(judged.where("not kept and doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone"))
+        again = s.keep(s.store(judged.where("doc_id is not null").groupBy(F.col("doc_id").alias("__gone")).count().where("count > 1").select("__gone"), "near-again"))
     left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-    again = materialize(judged.where("doc_id is not null").groupBy(F.col("doc_id").alias("__gone")).count().where("count > 1").select("__gone"), "near-again")
     if again.isEmpty():
         return left
     same = F.col("doc_id").cast("long") == F.col("__gone")
