@@ -7,8 +7,9 @@ holds more than the fixed-size system.  Ridge scores are calibrated by pooling
 adjacent violators over score bins of the training rows.
 
 Training rows are those of ``labels.quality`` whose id's checksum is not 0
-modulo 5, at most ``TRAIN_ROWS`` of them (the first by hashed id).  Only the
-text enters a score.  Null and empty texts have all-zero statistics and get the
+modulo 5, at most ``TRAIN_ROWS`` of them (the first by hashed id; an id that
+repeats trains with one of its rows, two labels of an id count as the larger).
+Only the text enters a score.  Null and empty texts have all-zero statistics and get the
 score of such a text; labels without both classes give everyone their mean.
 Repeated rows are scored alike.  Extra columns of the input are not read.
 """
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import documents, materialize
+from .store import discard, documents, materialize
 from .textstats import DOC_FEATURES, doc_features
 
 COMPONENTS = 300
@@ -30,7 +31,6 @@ WIDTH = 0.12
 RIDGE = 1e-3
 TRAIN_ROWS = 40_000
 FOLDS, THRESHOLD = 5, 0.3
-#: Weight of a training row of class 0, which is rare.
 BINS = 200
 SEED = 20240905
 
@@ -88,14 +88,12 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> QualityModel:
-    marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
-    marked = marked.where(~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"]).orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").limit(train_rows)
+    marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality").cast("double")).alias("quality"))
+    marked = marked.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").limit(train_rows)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # the sample is bounded by ``train_rows`` ids, 16 bytes each
-    rows = materialize(
-        source.join(F.broadcast(marked), "doc_id").select("quality", "text").mapInArrow(_statistics(["quality"]), "quality double, statistics binary"),
-        "quality-rows",
-    )
+    described = source.join(F.broadcast(marked), "doc_id").select("doc_id", "quality", "text").mapInArrow(_statistics(["doc_id", "quality"]), "doc_id long, quality double, statistics binary")
+    rows = materialize(described.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("statistics").alias("statistics")).drop("doc_id"), "quality-rows")
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, one, two, y = 0, np.zeros(DOC_FEATURES), np.zeros(DOC_FEATURES), 0.0
@@ -114,6 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Q
     model = QualityModel(mean, scale)
     positive = got["y"] or 0.0
     if not 0 < positive < n:
+        discard(rows)
         model.steps = (np.array([0.0]), np.array([positive / n if n else 0.5]))
         return model
     balance = (0.5 * n / (n - positive), 0.5 * n / positive)
@@ -145,6 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Q
             yield pa.RecordBatch.from_arrays([pa.array(((s + 0.5) * BINS / 2).astype(np.int32)), pa.array(s), batch.column("quality")], names=["bin", "s", "y"])
 
     bins = rows.mapInArrow(scored, "bin int, s double, y double").groupBy("bin").agg(F.avg("s").alias("s"), F.avg("y").alias("y"), F.count("*").alias("n")).toPandas().sort_values("s")
+    discard(rows)
     model.steps = pool(bins["s"].to_numpy(), bins["y"].to_numpy(), bins["n"].to_numpy())
     return model
 

@@ -5,11 +5,15 @@ texts.  The verdict is a linear-chain conditional random field's: Viterbi
 decoding marks every line as content or boilerplate, and the share of code
 points in content lines decides.
 
-The field is trained here, from the documents' quality labels as weak labels of
-their lines, on at most ``TRAIN_DOCS`` labelled documents of each class (the
-first by hashed id; at most ``TRAIN_LINES`` lines of each go into the fit, a
-bound on training alone).  Without labels of both classes a document's base
-rules decide.
+The field is trained here.  Lines get weak labels of their own: a line has its
+document's quality label unless its features, by their frequencies in lines of
+both classes, speak against it; so good documents have boilerplate lines, poor
+ones content, and the transitions are learned from sequences that switch.
+
+The fit takes at most ``TRAIN_DOCS`` labelled documents of each class (the first
+by hashed id; an id that repeats trains with one of its rows, two labels of an
+id count as the larger), and at most ``TRAIN_LINES`` lines of each, a bound on
+training alone.  Without labels of both classes a document's base rules decide.
 
 Null and empty texts have no words and fail the base rules.  Repeated rows are
 judged alike.  Extra columns of the input are not read.
@@ -35,6 +39,8 @@ SHARE = 0.5
 TRAIN_DOCS = 600
 TRAIN_LINES = 60
 STEPS = 150
+#: Log odds against its document's label from which a line has the other one.
+AGAINST = 1.0
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -72,15 +78,17 @@ class LineField:
         self.emit, self.move = emit, move
 
     @classmethod
-    def fit(cls, texts: list[np.ndarray], labels: list[int], steps: int = STEPS) -> LineField:
-        """Gradient ascent on the penalised conditional likelihood, all sequences side by side."""
+    def fit(cls, texts: list[np.ndarray], labels: list[np.ndarray], steps: int = STEPS) -> LineField:
+        """Gradient ascent on the penalised conditional likelihood of the lines' labels, all sequences side by side."""
         longest = max(map(len, texts))
         x = np.zeros((len(texts), longest, LINE_FEATURES), np.float32)
         on = np.zeros((len(texts), longest), bool)
         for k, t in enumerate(texts):
             x[k, : len(t)] = t
             on[k, : len(t)] = True
-        y = np.repeat(np.array(labels)[:, None], longest, axis=1)
+        y = np.zeros((len(texts), longest), int)
+        for k, t in enumerate(labels):
+            y[k, : len(t)] = t
         gold = np.eye(2, dtype=np.float32)[y] * on[..., None]
         pairs = on[:, 1:] & on[:, :-1]
         gold_move = np.zeros((2, 2))
@@ -125,29 +133,54 @@ class LineField:
         return path
 
 
+def weak_labels(texts: list[np.ndarray], labels: list[int], against: float = AGAINST) -> list[np.ndarray]:
+    """A label for every line, from its document's and its own features; blank lines go with the line before."""
+    seen = np.zeros((2, LINE_FEATURES))
+    lines = np.zeros(2)
+    for x, y in zip(texts, labels):
+        full = x[:, 1:].any(axis=1)
+        # a document counts once, however long
+        seen[y] += x[full].sum(axis=0) / max(1, full.sum())
+        lines[y] += full.any()
+    share = (seen + 0.5) / (lines[:, None] + 1)
+    on, off = np.log(share[1] / share[0]), np.log((1 - np.minimum(share[1], 0.999)) / (1 - np.minimum(share[0], 0.999)))
+    out = []
+    for x, y in zip(texts, labels):
+        odds = (x[:, 1:] * on[1:] + (1 - x[:, 1:]) * off[1:]).sum(axis=1)
+        own = np.where(odds > against, 1, np.where(odds < -against, 0, y))
+        blank = ~x[:, 1:].any(axis=1)
+        for k in np.flatnonzero(blank):
+            own[k] = own[k - 1] if k else y
+        out.append(own)
+    return out
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [document_lines(t.as_py() or "")[0][:TRAIN_LINES].astype("<f4").tobytes() for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("quality").cast(pa.int64()), pa.array(rows, pa.binary())], names=["quality", "lines"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality").cast(pa.int64()), pa.array(rows, pa.binary())], names=["doc_id", "quality", "lines"])
 
 
 def fit_field(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> LineField | None:
     """Collects the bounded training sample only: ``train_docs`` documents of each class."""
-    marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "quality").dropDuplicates(["doc_id"])
+    marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     place = F.xxhash64(F.lit(10), "doc_id")
     chosen = [marked.where(F.col("quality") == q).orderBy(place, "doc_id").limit(train_docs) for q in (0, 1)]
     sample = chosen[0].unionByName(chosen[1])
     got = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(sample), "doc_id")
-        .select("quality", "text")
-        .mapInArrow(_features, "quality long, lines binary")
+        .select("doc_id", "quality", "text")
+        .mapInArrow(_features, "doc_id long, quality long, lines binary")
+        .groupBy("doc_id")
+        .agg(F.min("quality").alias("quality"), F.min("lines").alias("lines"))
         .toPandas()
     )
     if got["quality"].nunique() < 2:
         return None
     got = got.sort_values(["quality", "lines"])
-    return LineField.fit([np.frombuffer(x, "<f4").reshape(-1, LINE_FEATURES) for x in got["lines"]], got["quality"].tolist())
+    texts = [np.frombuffer(x, "<f4").reshape(-1, LINE_FEATURES) for x in got["lines"]]
+    return LineField.fit(texts, weak_labels(texts, got["quality"].tolist()))
 
 
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double"

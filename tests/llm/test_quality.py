@@ -69,6 +69,49 @@ def test_rules_separate_planted_junk(spark):
     assert field.decode(x)[0] == field.decode(x)[2] == 1
 
 
+def test_lines_of_both_kinds_in_one_document(spark):
+    """A document of content with a block of boilerplate in it is labelled in part, and the field switches inside it."""
+    docs, labels = corpus(spark)
+    field = qr.fit_field(docs, labels)
+    good = "plain words in a line of content that goes on and ends."
+    bad = "### $$$ %%% *** &&& ||| $$$ ### %%% $$$ ### $$$"
+    text = "\n".join([good] + [good.replace("plain", f"other{k}") for k in range(5)] + [bad.replace("$$$", f"$${k}") for k in range(5)] + [good.replace("words", f"things{k}") for k in range(5)])
+    x = document_lines(text)[0]
+    assert field.decode(x).tolist() == [1] * 6 + [0] * 5 + [1] * 5
+    # and fitted on documents that mix both, the moves are those of the sequences
+    mixed = [np.vstack([x, x])] * 20 + [x[6:11]] * 20
+    weak = qr.weak_labels(mixed, [1] * 20 + [0] * 20)
+    assert all(0 < w.sum() < len(w) for w in weak[:20]) and not any(w.any() for w in weak[20:])
+    again = qr.LineField.fit(mixed, weak)
+    assert again.decode(x).tolist() == field.decode(x).tolist()
+
+
+def test_two_labels_and_repeated_ids_train_alike(spark):
+    docs, labels = corpus(spark, 60)
+    more = labels.unionByName(labels.selectExpr("doc_id", "0 as quality", "toxic"))
+    one, two = qr.fit_field(docs, labels), qr.fit_field(docs.unionByName(docs), more.orderBy(F.rand(3)))
+    assert np.allclose(one.emit, two.emit) and np.allclose(one.move, two.move)
+    x = np.random.default_rng(0).random((5, qm.DOC_FEATURES))
+    assert np.allclose(qm.train(docs, labels).score(x), qm.train(docs.unionByName(docs), more).score(x))
+
+
+def test_ridge_is_that_of_all_rows_at_once(spark):
+    """Partition-summed normal equations against one dense solve over the same features."""
+    docs, labels = corpus(spark, 120)
+    model = qm.train(docs.repartition(5), labels)
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [(qm.doc_features(r.text), marks[r.doc_id]) for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    x, y = np.array([r for r, _ in rows]), np.array([float(q) for _, q in rows])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0) + 1e-3)
+    p, w = model.project(x), np.where(y > 0, 0.5 * len(y) / y.sum(), 0.5 * len(y) / (len(y) - y.sum()))[:, None]
+    want = np.linalg.solve((p * w).T @ p + qm.RIDGE * len(y) / qm.COMPONENTS * np.eye(p.shape[1]), (p * w).T @ y)
+    assert np.allclose(model.raw(x), p @ want, atol=1e-6)
+    # the features' inner products are the Gaussian kernel's, up to the sampling of directions
+    z = np.clip((x - model.mean) / model.scale, -8, 8)
+    kernel = np.exp(-0.5 * qm.WIDTH**2 * ((z[:, None] - z[None]) ** 2).sum(-1))
+    assert np.abs(p[:, :-1] @ p[:, :-1].T - kernel).mean() < 0.1
+
+
 def test_rules_on_awkward_rows(spark):
     docs, labels = corpus(spark, 40)
     for field in (None, qr.fit_field(docs, labels)):
