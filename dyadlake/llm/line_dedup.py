@@ -41,7 +41,9 @@ BANDS, ROWS = 12, 5
 BLOCK = 1024
 
 _LAST = (1 << 63) - 1
-_POINTS = [-(1 << 63) + k * (1 << 64) // BANDS for k in range(BANDS)]
+#: Multiples of 2**60, which no hash is but with probability 2**-60: the low bits tell points from hashes.
+_POINTS = [-(1 << 63) + (k << 60) for k in range(BANDS)]
+_LOW = (1 << 60) - 1
 
 
 def _norm(line: Column) -> Column:
@@ -71,9 +73,10 @@ def signatures(docs: DataFrame) -> DataFrame:
     names = ["doc", "name", "line_no", "n1", "n2"]
     points, reach = F.array(*map(F.lit, _POINTS)), ROWS + BANDS  # the rows after a point, with all points between
     hashed = _lines(docs).select(*names, _shingles(F.col("norm")).alias("hashes"))
-    ring = hashed.select(*names, F.sort_array(F.concat(F.array_except("hashes", points), points)).alias("ring"))
+    ring = hashed.select(*names, F.sort_array(F.concat("hashes", points)).alias("ring"))
     whole = ring.select(*names, "ring", F.concat("ring", F.slice("ring", 1, reach)).alias("round"))
-    after = lambda p: F.array_except(F.slice("round", F.array_position("ring", p).cast("int") + 1, reach), points)
+    near = lambda p: F.slice("round", F.array_position("ring", p).cast("int") + 1, reach)
+    after = lambda p: F.filter(near(p), lambda h: h.bitwiseAND(_LOW) != 0)
     # a band's number is in its key
     keys = [F.xxhash64(F.lit(k), F.slice(after(p), 1, ROWS)) for k, p in enumerate(_POINTS)]
     return whole.select(*names, F.array(*keys).alias("keys"))
