@@ -13,11 +13,11 @@
    every document; the rest is the line's start: whole documents of a seeded
    draw, and of the one at the end its first words, for the target is in words.
 
-A source is dealt to shards of about ``SHARD`` words, so a source that holds a
-third of all rows is no larger a task than any other.  DataFrame operations
+A source is dealt to shards of about ``SHARD`` words by id and text, so a source
+or an id that holds a third of all rows is no larger a task than any other.  DataFrame operations
 only.  Null and empty texts have size 0 and are never taken; repeated rows and
-ids are rows of their own; the result depends on ids and sizes alone, so reruns
-agree.  Extra columns of the input are not read.
+ids are rows of their own; the result depends on ids, sources and texts alone,
+so reruns agree.  Extra columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import documents, materialize
+from .store import Scratch, documents
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
@@ -78,17 +78,21 @@ def apportion(parties: DataFrame, group: list[str], party: str, votes: str, seat
 
 
 def _mix(docs: DataFrame, weights: tuple[int, ...], epochs: int, block: int, seed: int) -> DataFrame:
-    """(row, doc_id, source, size, source_size, target, taken) of every document."""
+    """(row, doc_id, source, size, source_size, target, taken) of every document; a stored table."""
+    with Scratch() as s:
+        return s.keep(_mixed(docs, weights, epochs, block, seed, s))
+
+
+def _mixed(docs: DataFrame, weights: tuple[int, ...], epochs: int, block: int, seed: int, s: Scratch) -> DataFrame:
     size: Column = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = materialize(
-        docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size")), "mix-sized"
-    )
-    table = materialize(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs), "mix-targets")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size"), F.xxhash64("text").alias("name"))
+    sized = s.store(numbered, "mix-sized")
+    table = s.store(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs), "mix-targets")
     seats = table.withColumn("_blocks", F.round(F.sum("source_size").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) / block).cast("long"))
-    quotas = materialize(apportion(seats, [], "src", "target", "_blocks", "quota").drop("_blocks"), "mix-quotas")
+    quotas = s.store(apportion(seats, [], "src", "target", "_blocks", "quota").drop("_blocks"), "mix-quotas")
 
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD)).cast("long")
-    placed = sized.join(quotas, sized["source"].eqNullSafe(quotas["source"])).drop(quotas["source"]).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), shards))
+    placed = sized.join(quotas, sized["source"].eqNullSafe(quotas["source"])).drop(quotas["source"]).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "name"), shards))
     sizes = placed.groupBy("src", "shard").agg(F.sum("size").alias("shard_size"), F.max("quota").alias("quota"))
     taken = (
         apportion(sizes, ["src"], "shard", "shard_size", "quota", "blocks")
@@ -97,19 +101,20 @@ def _mix(docs: DataFrame, weights: tuple[int, ...], epochs: int, block: int, see
         .withColumn("rest", F.col("words") - F.col("passes") * F.col("shard_size"))
         .select("src", "shard", "shard_size", "passes", "rest")
     )
-    shares = materialize(taken, "mix-shards")
-    line = Window.partitionBy("src", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size", "row")
+    shares = s.store(taken, "mix-shards")
+    line = Window.partitionBy("src", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "name"), "doc_id", "size", "row")
     laid = placed.where("size > 0").withColumn("at", F.sum("size").over(line) - F.col("size"))
     drawn = (
         laid.join(shares.where("rest > 0").select("src", "shard", "rest"), ["src", "shard"])
         .where("at < rest")
         .select("row", F.least(F.col("size"), F.col("rest") - F.col("at")).alias("extra"))
     )
-    return (
+    every = (
         placed.join(shares.select("src", "shard", "passes"), ["src", "shard"])
         .join(drawn, "row", "left")
         .select("row", "doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + F.coalesce("extra", F.lit(0))).cast("long").alias("taken"))
     )
+    return s.store(every, "mix-taken")
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
