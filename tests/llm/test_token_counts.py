@@ -1,7 +1,10 @@
+import random
+import time
+
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from dyadlake.llm.token_counts import VOCABULARY, PrefixCounter, token_counts
+from dyadlake.llm.token_counts import VOCABULARY, PrefixCounter, op4_token_counts, token_counts
 
 from helpers import AWKWARD, frame
 
@@ -52,3 +55,49 @@ def test_one_more_code_point_would_exceed_the_budget(spark):
     for r in token_counts(frame(spark, rows), PATH).collect():
         text = texts[r.doc_id]
         assert r.over_limit and size(text[: r.cut_at]) <= 2048 < size(text[: r.cut_at + 1])
+
+
+class Splitter:
+    """A tokenizer that normalises and splits, and encodes nothing."""
+
+    def __init__(self, whole):
+        self.normalizer, self.pre_tokenizer = whole.normalizer, whole.pre_tokenizer
+
+
+def test_tables_of_units_are_the_librarys():
+    whole, state = Tokenizer.from_file(PATH), PrefixCounter(PATH)
+    state.tokenizer = Splitter(state.tokenizer)
+    rng = random.Random(4)
+    pieces = [v.removesuffix("</w>") for v in state.vocab if v.removesuffix("</w>").isascii()]
+    words = list({"".join(rng.choice(pieces) for _ in range(rng.randrange(1, 5)))[:60].lower() for _ in range(4000)} | {"é" * k for k in range(1, 40)} | {"漢字" * k for k in range(1, 100)})
+    words = [w for w in words if w and "<|" not in w and not any(c.isspace() for c in w)]
+    assert state.chunk_counts(words).tolist() == [len(e.ids) for e in whole.encode_batch(words, add_special_tokens=False)]
+    units = [w.encode() for w in words if w.isalpha() and w.isascii()][:300]
+    cells, sizes = state.units.tables(units, True)
+    for u, row, n in zip(units, cells, sizes):
+        assert row[1 : n + 1].tolist() == [len(whole.encode(u[:i].decode(), add_special_tokens=False).ids) for i in range(1, n + 1)]
+
+
+def test_a_long_chunk_is_answered_without_encoding():
+    whole, state = Tokenizer.from_file(PATH), PrefixCounter(PATH)
+    state.tokenizer = Splitter(state.tokenizer)
+    for text in ("漢字テスト" * 20000, "abcxyz" * 17000, "A1/b+" * 20000):
+        began = time.time()
+        table = state.prefix_table(text)
+        cut = state.fits(text, table, 2048)
+        assert time.time() - began < 30
+        assert int(table[-1]) == len(whole.encode(text, add_special_tokens=False).ids)
+        size = lambda n: len(whole.encode(text[:n], add_special_tokens=False).ids)  # noqa: B023, E731
+        assert size(cut) <= 2048 < size(cut + 1)
+
+
+def test_the_query_on_whole_documents(spark):
+    import pyarrow.parquet as pq
+
+    whole = Tokenizer.from_file(PATH)
+    rows = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()
+    got = {r.doc_id: r for r in op4_token_counts(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        n = len(whole.encode(r["text"] or "", add_special_tokens=False).ids)
+        assert (got[r["doc_id"]].n_tokens, got[r["doc_id"]].n_bytes, got[r["doc_id"]].over_limit) == (n, len((r["text"] or "").encode()), n > 2048)
