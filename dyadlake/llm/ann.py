@@ -1,16 +1,25 @@
 """Approximate nearest neighbours (operator 2): a robust-pruned directed graph per shard.
 
 Rows with the same vector are one node; a node answers with its ``k + 1``
-smallest ids, all that a result can hold.  Nodes are dealt to shards of about
-``SHARD`` by a hash of the vector.  In each shard a graph is grown in batches:
-greedy beam searches over the graph so far propose a node's neighbours, relaxed
-distance pruning (a neighbour goes if another kept one is ``ALPHA`` times
-closer to it) keeps diverse edges, and reverse edges are added and pruned
-likewise.  Beam search answers every block of queries in every shard; exact
+smallest ids, all that a result can hold.  Nodes are dealt to shards by a hash
+of the vector; a shard holds about ``8 * sqrt(nodes)``, between ``SHARD`` and
+``MOST``, so shards become larger as well as more.  In each shard a graph is
+grown in batches: greedy beam searches over the graph so far propose a node's
+neighbours, relaxed distance pruning (a neighbour goes if another kept one is
+``ALPHA`` times closer to it) keeps diverse edges, and reverse edges are added
+and pruned likewise.  Beam search answers every query in every shard; exact
 double-precision scores of the original vectors rank what it finds.
 
+The graphs are stored a row a node.  Queries travel to the graphs, which are
+read once for every ``GROUP`` queries; a task holds one graph and a block of
+``QUERY_BLOCK`` queries.
+
 For inner products, vectors are lifted by one coordinate to the same length, so
-that the nearest in the lifted space has the largest product.
+that the nearest in the lifted space has the largest product.  Shards hold
+vectors of one order of magnitude (``LEVEL`` binary digits), scaled by the
+largest: so single precision is enough for the graph of any finite doubles, and
+an outlier spoils no other shard.  Scores that exceed the range of doubles are
+infinite.
 
 Vectors that are null, empty, zero or hold null or non-finite components take
 no part, nor do rows without an id.  Vectors of different lengths never meet.
@@ -26,17 +35,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import Scratch
 
 K = 20
 QUERY_EVERY = 20
-SHARD = 8192
+SHARD, MOST = 4096, 65_536
 DEGREE, SLACK = 32, 48
 BEAM, BUILD_BEAM = 64, 64
 ALPHA = 1.2
 EXPAND = 4
 BATCH = 512
 QUERY_BLOCK = 1024
+GROUP = 65_536
+LEVEL = 8
 
 
 class Graph:
@@ -157,122 +168,169 @@ class Graph:
             self.edges[nodes[part], :DEGREE] = self.prune(nodes[part], offered)
 
 
-def _rows(batch: pa.RecordBatch, name: str, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column(name).to_pylist()), "<f4").reshape(-1, width)
+def lifted(x: np.ndarray, scale: float, longest: float) -> np.ndarray:
+    """Single-precision vectors for the graph: scaled, and of the same length by one coordinate more."""
+    small = x / scale
+    lift = np.sqrt(np.maximum(longest**2 - np.einsum("nd,nd->n", small, small), 0))
+    return np.hstack([small, lift[:, None]]).astype("<f4")
+
+
+def asked_for(q: np.ndarray) -> np.ndarray:
+    """Queries in the lifted space; their own length changes no order."""
+    return np.hstack([q / np.abs(q).max(axis=1, keepdims=True), np.zeros((len(q), 1))]).astype("<f4")
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _runs(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Stretches of a sorted batch with equal values in ``names``."""
+    keys = list(zip(*(batch.column(c).to_pylist() for c in names)))
+    start = 0
+    for k in range(1, len(keys) + 1):
+        if k == len(keys) or keys[k] != keys[start]:
+            yield keys[start], batch.slice(start, k - start)
+            start = k
+
+
+_NODE = "width int, level int, shard int, pos int, ids array<long>, vector array<double>, scale double, longest double, edges array<int>, start boolean"
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted by (width, shard): one index row a shard."""
-    names = ["width", "shard", "ids", "counts", "vectors", "edges", "start"]
-
-    def index(width: int, shard: int, rows: list[tuple]) -> pa.RecordBatch:
-        x = np.array([r[0] for r in rows], "<f4")
-        wide = np.linalg.norm(x.astype(np.float64), axis=1)
-        lift = np.sqrt(np.maximum(rows[0][2] ** 2 - wide**2, 0))
-        g = Graph.build(np.hstack([x, lift[:, None]]))
-        ids, counts = np.concatenate([np.array(r[1], "<i8") for r in rows]), np.array([len(r[1]) for r in rows], "<i4")
-        return pa.RecordBatch.from_arrays(
-            [pa.array([width], pa.int32()), pa.array([shard], pa.int32()), *(pa.array([a.tobytes()], pa.binary()) for a in (ids, counts, g.x, g.edges.astype("<i4"))), pa.array([g.start], pa.int32())],
-            names=names,
+    """Sorted by (width, level, shard): the nodes of each shard with their edges."""
+
+    def index(key: tuple, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        scale, longest = t["scale"][0].as_py(), t["longest"][0].as_py()
+        x = np.vstack([_matrix(p.column("vector"), key[0]) for p in parts])
+        g = Graph.build(lifted(x, scale, longest))
+        n = len(x)
+        edges = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * SLACK), pa.array(g.edges.ravel().astype(np.int32)))
+        whole = pa.RecordBatch.from_arrays(
+            [*(pa.array(np.full(n, v, np.int32)) for v in key), pa.array(np.arange(n, dtype=np.int32)), *(t[c].combine_chunks() if t[c].num_chunks != 1 else t[c].chunk(0) for c in ("ids", "vector", "scale", "longest")), edges, pa.array(np.arange(n) == g.start)],
+            names=["width", "level", "shard", "pos", "ids", "vector", "scale", "longest", "edges", "start"],
         )
+        for at in range(0, n, 4096):
+            yield whole.slice(at, 4096)
 
-    now, rows = None, []
+    now, parts = None, []
     for batch in batches:
-        for width, shard, vector, ids, longest in zip(*(batch.column(c).to_pylist() for c in ("width", "shard", "vector", "ids", "longest"))):
-            if (width, shard) != now and rows:
-                yield index(*now, rows)
-                rows = []
-            now = (width, shard)
-            rows.append((vector, ids, longest))
-    if rows:
-        yield index(*now, rows)
+        for key, part in _runs(batch, ["width", "level", "shard"]):
+            if key != now and parts:
+                yield from index(now, parts)
+                parts = []
+            now = key
+            parts.append(part)
+    if parts:
+        yield from index(now, parts)
+
+
+class _Shard:
+    """A graph in a task's memory, with its nodes' original vectors and ids."""
+
+    def __init__(self, width: int, parts: list[pa.RecordBatch]):
+        self.x = np.vstack([_matrix(p.column("vector"), width) for p in parts])
+        self.scale, self.longest = parts[0].column("scale")[0].as_py(), parts[0].column("longest")[0].as_py()
+        edges = np.vstack([_matrix(p.column("edges"), SLACK) for p in parts])
+        start = int(np.argmax(np.concatenate([p.column("start").to_numpy(zero_copy_only=False) for p in parts])))
+        self.graph = Graph(lifted(self.x, self.scale, self.longest), edges, start)
+        counts = np.concatenate([np.diff(p.column("ids").offsets.to_numpy()) for p in parts])
+        self.ids, self.counts, self.ends = np.concatenate([p.column("ids").flatten().to_numpy() for p in parts]), counts, np.cumsum(counts)
+
+    def answer(self, owners: list[int], q: np.ndarray, k: int) -> tuple[list[int], list[int], list[float]]:
+        found, _ = self.graph.search(asked_for(q), BEAM)
+        with np.errstate(over="ignore", invalid="ignore"):
+            exact = np.einsum("nd,nkd->nk", q, self.x[found])
+        out: tuple[list, list, list] = [], [], []
+        for own, nodes, scores in zip(owners, found, exact):
+            ok = nodes >= 0
+            nodes, scores = nodes[ok], scores[ok]
+            order = np.argsort(-scores, kind="stable")
+            got: list[tuple[float, int]] = []
+            for n, s in zip(nodes[order].tolist(), scores[order].tolist()):
+                if len(got) >= k and -s > got[k - 1][0]:
+                    break
+                got += [(-s, i) for i in self.ids[self.ends[n] - self.counts[n] : self.ends[n]].tolist() if i != own]
+                if len(got) > k:
+                    got.sort()
+            got = sorted(got)[:k]
+            out[0].extend([own] * len(got))
+            out[1].extend(i for _, i in got)
+            out[2].extend(-s for s, _ in got)
+        return out
 
 
 def _answer(k: int):
+    """Sorted by (width, level, shard, part, kind): a shard's nodes, then the queries that it answers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, shard = None, [], None
         for batch in batches:
-            for r in batch.to_pylist():
-                width = r["width"]
-                x = np.frombuffer(r["vectors"], "<f4").reshape(-1, width + 1)
-                g = Graph(x, np.frombuffer(r["edges"], "<i4").reshape(len(x), SLACK), r["start"])
-                q = np.array(r["queries"], "<f4").reshape(-1, width)
-                found, _ = g.search(np.hstack([q, np.zeros((len(q), 1), "<f4")]), BEAM)
-                counts = np.frombuffer(r["counts"], "<i4")
-                ends = np.cumsum(counts)
-                ids = np.frombuffer(r["ids"], "<i8")
-                exact = np.einsum("nd,nkd->nk", q.astype(np.float64), x[found][..., :width].astype(np.float64))
-                out = [[], [], []]
-                for own, nodes, scores in zip(r["query_ids"], found, exact):
-                    ok = nodes >= 0
-                    nodes, scores = nodes[ok], scores[ok]
-                    order = np.argsort(-scores, kind="stable")
-                    got: list[tuple[float, int]] = []
-                    for n, s in zip(nodes[order].tolist(), scores[order].tolist()):
-                        if len(got) >= k and -s > got[k - 1][0]:
-                            break
-                        got += [(-s, i) for i in ids[ends[n] - counts[n] : ends[n]].tolist() if i != own]
-                        if len(got) > k:
-                            got.sort()
-                    got = sorted(got)[:k]
-                    out[0] += [own] * len(got)
-                    out[1] += [i for _, i in got]
-                    out[2] += [-s for s, _ in got]
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+            for (width, *number, kind), rows in _runs(batch, ["width", "level", "shard", "part", "kind"]):
+                if (width, *number) != now:
+                    now, parts, shard = (width, *number), [], None
+                if kind == 0:
+                    parts.append(rows)
+                    continue
+                if shard is None:
+                    shard, parts = _Shard(width, parts), []
+                for at in range(0, rows.num_rows, QUERY_BLOCK):
+                    block = rows.slice(at, QUERY_BLOCK)
+                    got = shard.answer(block.column("pos").to_pylist(), _matrix(block.column("vector"), width), k)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(got, (pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
 
     return run
 
 
 def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` largest inner products found among the (vec_id, embedding) rows for those that ``is_query`` picks."""
+    """(query_id, rank, vec_id, score): the ``k`` largest inner products found among the (vec_id, embedding) rows for those that ``is_query`` picks.  Reads one stored table."""
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = (
-        vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+        vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
         .where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
         .where(finite & F.exists("embedding", lambda v: v != 0))
         .dropDuplicates(["vec_id", "embedding"])
     )
-    rows = materialize(rows.withColumn("width", F.size("embedding")), "ann-rows")
-    square = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
-    longest = rows.groupBy("width").agg(F.sqrt(F.max(square)).alias("longest"), F.count("*").alias("rows"))
-    place = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    nodes = (
-        rows.withColumn("place", place)
-        .where(F.col("place") <= k + 1)
-        .groupBy("width", "embedding")
-        .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-        .join(longest, "width")
-        .withColumn("shard", F.pmod(F.xxhash64("embedding"), F.ceil(F.col("rows") / SHARD)).cast("int"))
-        .select("width", "shard", F.col("embedding").alias("vector"), "ids", "longest")
-    )
-    index = materialize(
-        nodes.repartition("width", "shard").sortWithinPartitions("width", "shard", F.element_at("ids", 1)).mapInArrow(
-            _build, "width int, shard int, ids binary, counts binary, vectors binary, edges binary, start int"
-        ),
-        "ann-index",
-    )
-    asked = rows.where(is_query)
-    sizes = asked.groupBy("width").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
-    blocks = (
-        asked.join(sizes, "width")
-        .groupBy("width", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block"))
-        .agg(F.collect_list("vec_id").alias("query_ids"), F.flatten(F.collect_list("embedding")).alias("queries"))
-    )
-    met = (
-        index.join(sizes, "width")
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
-        .join(blocks.withColumn("block", F.col("block").cast("long")), ["width", "block"])
-        .repartition("width", "shard", "block")
-        .select("width", "vectors", "edges", "start", "ids", "counts", "query_ids", "queries")
-    )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (
-        met.mapInArrow(_answer(k), "query_id long, vec_id long, score double")
-        .groupBy("query_id", "vec_id")
-        .agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    with Scratch() as s:
+        most = F.array_max(F.transform("embedding", lambda v: F.abs(v)))
+        rows = s.store(rows.withColumn("width", F.size("embedding")).withColumn("most", most).withColumn("level", F.floor(F.log2("most") / LEVEL).cast("int")), "ann-rows")
+        scales = rows.groupBy("width", "level").agg(F.max("most").alias("scale"), F.count("*").alias("rows"))
+        square = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + (v / F.col("top")) * (v / F.col("top")))
+        longest = rows.join(scales.withColumnRenamed("scale", "top"), ["width", "level"]).groupBy("width", "level").agg(F.sqrt(F.max(square)).alias("longest"))
+        size = F.greatest(F.lit(SHARD), F.least(F.lit(MOST), (8 * F.sqrt("rows")).cast("int")))
+        asked = rows.where(is_query)
+        parts = asked.groupBy("width").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
+        shape = scales.join(longest, ["width", "level"]).join(parts, "width").withColumn("shards", F.ceil(F.col("rows") / size).cast("int")).drop("rows")
+        shape = s.store(shape, "ann-shape")
+        unit = ["width", "level", "shard"]
+        place = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+        nodes = (
+            rows.withColumn("place", place)
+            .where(F.col("place") <= k + 1)
+            .groupBy("width", "level", "embedding")
+            .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+            .join(shape, ["width", "level"])
+            .withColumn("shard", F.pmod(F.xxhash64("embedding"), F.col("shards")).cast("int"))
+            .select(*unit, F.col("embedding").alias("vector"), "ids", "scale", "longest")
+        )
+        index = s.store(nodes.repartition(*unit).sortWithinPartitions(*unit, F.element_at("ids", 1)).mapInArrow(_build, _NODE), "ann-index")
+        every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        graphs = index.join(shape.select("width", "level", "parts"), ["width", "level"]).withColumn("part", every("parts")).withColumn("kind", F.lit(0)).withColumn("pos", F.col("pos").cast("long"))
+        queries = (
+            asked.drop("level")
+            .join(shape.select("width", "level", "shards", "parts"), "width")
+            .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+            .withColumn("shard", every("shards"))
+            .select(*unit, "part", F.lit(1).alias("kind"), F.col("vec_id").alias("pos"), F.col("embedding").alias("vector"))
+        )
+        met = graphs.drop("parts").unionByName(queries, allowMissingColumns=True)
+        dealt = met.repartition(*unit, "part").sortWithinPartitions(*unit, "part", "kind", "pos")
+        found = dealt.select(*unit, "part", "kind", "pos", "ids", "vector", "scale", "longest", "edges", "start").mapInArrow(_answer(k), "query_id long, vec_id long, score double")
+        best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        # an id that has several vectors answers with its best one
+        ranked = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return s.keep(s.store(ranked.select("query_id", "rank", "vec_id", "score"), "ann-nearest"))
 
 
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
