@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dyadlake.llm import line_dedup, mixing, near_dedup, packing, quality_model
-from dyadlake.llm.store import documents, materialize
+from dyadlake.llm.store import discard, documents, materialize
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -60,7 +60,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
