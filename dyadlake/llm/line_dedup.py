@@ -13,9 +13,9 @@
    of a bucket meets its smallest and its largest node: links linear in the
    rows.  Their components leave few buckets with members of several; of those,
    the members that were no end meet one another inside a join whose condition
-   is the similarity itself, so that only confirmed links are rows.  Buckets
-   with the same members are one, and those above ``BLOCK`` members are dealt as
-   pairs of blocks: no task holds one whole and no pair is skipped.
+   is the similarity itself, so that only confirmed links are rows, and each
+   pair is compared once.  Buckets above ``BLOCK`` members are dealt as pairs of
+   blocks: no task holds one whole and no pair is skipped.
 5. Distributed union-find; a component keeps its line of the smallest (doc_id,
    line number).
 
@@ -38,7 +38,7 @@ from .store import Scratch, documents
 SIMILARITY = 85
 SHINGLE = 5
 BANDS, ROWS = 12, 5
-BLOCK = 1024
+BLOCK = 512
 
 _LAST = (1 << 63) - 1
 #: Multiples of 2**60, which no hash is but with probability 2**-60: the low bits tell points from hashes.
@@ -62,17 +62,17 @@ def _lines(docs: DataFrame) -> DataFrame:
     return named.select("doc", "name", "line_no", F.xxhash64("norm").alias("n1"), F.xxhash64(F.lit(SHINGLE), "norm").alias("n2"), "norm")
 
 
-def _shingles(norm: Column) -> Column:
-    """Distinct hashes of a line's shingles."""
+def _hashes(norm: Column) -> Column:
+    """Hashes of a line's shingles, one for every position."""
     every = F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.array_distinct(F.transform(F.when(F.char_length(norm) < SHINGLE, F.array(norm)).otherwise(every), lambda g: F.xxhash64(g)))
+    return F.transform(F.when(F.char_length(norm) < SHINGLE, F.array(norm)).otherwise(every), lambda g: F.xxhash64(g))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc, name, line_no, n1, n2, keys) of every line that is not blank, in one map over the texts."""
     names = ["doc", "name", "line_no", "n1", "n2"]
     points, reach = F.array(*map(F.lit, _POINTS)), ROWS + BANDS  # the rows after a point, with all points between
-    hashed = _lines(docs).select(*names, _shingles(F.col("norm")).alias("hashes"))
+    hashed = _lines(docs).select(*names, F.array_distinct(_hashes(F.col("norm"))).alias("hashes"))
     ring = hashed.select(*names, F.sort_array(F.concat("hashes", points)).alias("ring"))
     whole = ring.select(*names, "ring", F.concat("ring", F.slice("ring", 1, reach)).alias("round"))
     near = lambda p: F.slice("round", F.array_position("ring", p).cast("int") + 1, reach)
@@ -90,40 +90,59 @@ def _buckets(signed: DataFrame) -> DataFrame:
     return keyed.join(ends, "key")
 
 
-def _alike(x: Column, y: Column, similarity: int) -> Column:
-    """common / (x + y - common) >= similarity of two sets, the intersection taken once."""
-    return (100 + similarity) * F.size(F.array_intersect(x, y)).cast("long") >= similarity * (F.size(x) + F.size(y))
+def _sized(x: Column, y: Column, similarity: int) -> Column:
+    """Whether sets of these sizes can reach the similarity at all."""
+    return 100 * F.least(x, y) >= similarity * F.greatest(x, y)
+
+
+def _alike(x: Column, y: Column, n_x: Column, n_y: Column, similarity: int) -> Column:
+    """common / (n_x + n_y - common) >= similarity of two sets, the intersection taken once; it drops repeats itself."""
+    return (100 + similarity) * F.size(F.array_intersect(x, y)).cast("long") >= similarity * (n_x + n_y)
+
+
+def line_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, norm, n) of wanted nodes: the line and the size of its set."""
+    found = lines.select(F.col("n1").alias("node"), "norm").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    return found.select("node", "norm", F.size(F.array_distinct(_hashes(F.col("norm")))).alias("n"))
 
 
 def _ends_links(members: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
     """(a, b): confirmed links of every member with the ends of its bucket."""
     pair = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
     links = members.select(F.explode(F.array(pair("low", "node"), pair("node", "high"))).alias("l")).select("l.*").where("a < b").distinct()
-    side = lambda c, t: texts.select(F.col("node").alias(c), F.col("norm").alias(t))
-    met = links.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    # both sets are bound once; a predicate on columns of theirs would be evaluated for each use
-    sets = F.array(F.struct(_shingles(F.col("x")).alias("x"), _shingles(F.col("y")).alias("y")))
-    return met.where(F.exists(sets, lambda p: _alike(p["x"], p["y"], similarity))).select("a", "b")
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("norm").alias(f"norm_{c}"), F.col("n").alias(f"n_{c}"))
+    met = links.join(side("a"), "a").join(side("b"), "b").where(_sized(F.col("n_a"), F.col("n_b"), similarity))
+    # a generated row binds both sets: a predicate on columns would evaluate them for each use
+    sets = F.explode(F.array(F.struct(_hashes(F.col("norm_a")).alias("x"), _hashes(F.col("norm_b")).alias("y"))))
+    bound = met.select("a", "b", "n_a", "n_b", sets.alias("p"))
+    return bound.where(_alike(F.col("p.x"), F.col("p.y"), F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
 
 
 def _inner_links(members: DataFrame, texts: DataFrame, roots: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
-    """(a, b): confirmed links between the members that are no ends, where the ends have not connected them."""
+    """(a, b): confirmed links between the members that are no ends, where the ends have not connected them.
+
+    A pair is compared under the smallest key that both have.  Where that key's
+    bucket has one of them as an end, or one root, there is nothing left to do.
+    """
     inner = members.where("n > 3 and node <> low and node <> high").select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     inner = scratch.store(inner, "line-inner")
-    open_ = inner.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.bit_xor(F.xxhash64("node")).alias("bucket"), F.count("*").alias("n")).where("x < y")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    # buckets of the same members are one
-    dealt = inner.join(open_.select("key", "bucket", blocks.alias("blocks")), "key").select("bucket", "blocks", "node", "root").distinct()
+    open_ = inner.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).where("x < y")
+    dealt = inner.join(open_.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
     dealt = dealt.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != F.col("side")) | (F.col("blocks") == 1))
-    dealt = dealt.withColumn("other", F.explode(others)).select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "node", "root")
-    unit = ["bucket", "lo", "hi"]
+    dealt = dealt.withColumn("other", F.explode(others)).select("key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "node", "root")
+    unit = ["key", "lo", "hi"]
+    keys = members.groupBy("node").agg(F.collect_set("key").alias("keys"))  # as many as a line has bands
     # texts travel, sets are made where they are compared
-    rows = dealt.join(texts, "node").select(*unit, "node", "root", "norm").repartition(*unit)
-    side = lambda c: rows.select(*unit, F.col("node").alias(c), F.col("root").alias(f"root_{c}"), _shingles(F.col("norm")).alias(f"set_{c}"))
-    met = side("a").join(side("b"), unit)
-    sized = 100 * F.least(F.size("set_a"), F.size("set_b")) >= similarity * F.greatest(F.size("set_a"), F.size("set_b"))
-    return met.where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & sized & _alike(F.col("set_a"), F.col("set_b"), similarity)).select("a", "b")
+    rows = dealt.join(keys, "node").join(texts, "node").select(*unit, "side", "node", "root", "keys", "norm", "n").repartition(*unit)
+    names = {"node": "{}", "root": "root_{}", "side": "side_{}", "keys": "keys_{}", "n": "n_{}"}
+    side = lambda c: rows.select(*unit, *[F.col(x).alias(y.format(c)) for x, y in names.items()], F.array_distinct(_hashes(F.col("norm"))).alias(f"set_{c}"))
+    met, sizes = side("a").join(side("b"), unit), (F.col("n_a"), F.col("n_b"))
+    apart = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _sized(*sizes, similarity)
+    # members of one block meet with the first other block alone
+    once = (F.col("side_a") != F.col("side_b")) | (F.col("hi") == 0) | ((F.col("lo") == 0) & (F.col("hi") == F.greatest(F.col("side_a"), F.lit(1))))
+    first = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
+    return met.where(apart & once & first & _alike(F.col("set_a"), F.col("set_b"), *sizes, similarity)).select("a", "b")
 
 
 def confirmed(members: DataFrame, texts: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
@@ -140,7 +159,7 @@ def duplicate_lines(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         signed = s.store(signatures(docs), "line-signatures")
         members = s.store(_buckets(signed), "line-buckets")
         wanted = members.select("node").distinct()
-        texts = s.store(_lines(docs).select(F.col("n1").alias("node"), "norm").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "line-texts")
+        texts = s.store(line_texts(_lines(docs), wanted), "line-texts")
         roots = s.own(components(confirmed(members, texts, similarity, s), "a", "b"))
         # a group is a component, or the copies of a line that is in none
         grouped = signed.select("doc", "name", "line_no", "n1", "n2").join(roots, signed["n1"] == roots["node"], "left")

@@ -116,7 +116,8 @@ def test_inner_members_meet_in_blocks(spark, monkeypatch):
         texts = dict(enumerate(["x" * 50, *family, "y" * 50]))
         members = spark.createDataFrame([(7, n, 0, 9, 10) for n in texts], "key long, node long, low long, high long, n long")
         with Scratch() as s:
-            links = ld.confirmed(members, spark.createDataFrame(list(texts.items()), "node long, norm string"), 85, s)
+            known = [(n, t, len(shingles(t))) for n, t in texts.items()]
+            links = ld.confirmed(members, spark.createDataFrame(known, "node long, norm string, n int"), 85, s)
             got = {r.node: r.root for r in components(links, "a", "b").collect()}
         assert got == {**dict.fromkeys(range(1, 5), 1), **dict.fromkeys(range(5, 9), 5)}
 
