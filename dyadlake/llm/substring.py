@@ -13,8 +13,12 @@ once a block, as its hash alone:
 3. each block adds the repeats inside it, and merges the flagged windows into
    maximal removal intervals.
 
-Texts are shuffled once: both uses of a block read the same exchange.  Blocks
-and ranges are sized by the input's bytes, so a task's memory does not grow.
+Texts are shuffled once: both uses of a block read the same exchange.  A first
+pass over ids and sizes cuts the ids, in order, wherever ``BLOCK_BYTES`` of text
+are full, so blocks and ranges are sized by bytes and a task's memory does not
+grow, whatever the number of blocks.  An id whose rows fill more than a block, a
+missing one as well, is a block of its own in several parts: rows of one id never
+dedup each other, so its parts need not meet.
 
 Hashes are 64 bits wide; two different windows of a corpus of n share one with
 probability n**2 / 2**65.  Null and empty texts have no words.  Texts under
@@ -40,8 +44,6 @@ from .store import documents
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
 RANGE_BYTES = 24 << 20
-#: Blocks whose bounds one query holds; a block grows beyond ``BLOCK_BYTES`` only past this many.
-MOST_BLOCKS = 20_000
 #: The place of rows without an id.
 _LAST = (1 << 63) - 1
 
@@ -74,35 +76,35 @@ def text_windows(raw: bytes, size: int) -> tuple[int, np.ndarray]:
 def _send(size: int, ranges: int):
     cuts = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64) if ranges > 1 else np.empty(0, np.uint64)
 
-    def rows_of(block: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+    def rows_of(unit: tuple[int, int], parts: list[np.ndarray]) -> pa.RecordBatch:
         values = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
         at = np.concatenate(([0], np.searchsorted(values, cuts), [len(values)]))
         full = [k for k in range(ranges) if at[k] < at[k + 1]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int32()), pa.array([pack_sorted(values[at[k] : at[k + 1]]) for k in full], pa.binary())],
-            names=["part", "block", "hashes"],
+            [pa.array(full, pa.int32()), *(pa.array([u] * len(full), pa.int32()) for u in unit), pa.array([pack_sorted(values[at[k] : at[k + 1]]) for k in full], pa.binary())],
+            names=["part", "block", "sub", "hashes"],
         )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts = None, []
+        unit, parts = None, []
         for batch in batches:
-            for now, text in zip(batch.column("block").to_pylist(), batch.column("text")):
-                if now != block and parts:
-                    yield rows_of(block, parts)
+            for now, text in zip(zip(batch.column("block").to_pylist(), batch.column("sub").to_pylist()), batch.column("text")):
+                if now != unit and parts:
+                    yield rows_of(unit, parts)
                     parts = []
-                block = now
+                unit = now
                 windows = text_windows(T.encode(text.as_py()), size)[1]
                 if len(windows):
                     parts.append(windows)
         if parts:
-            yield rows_of(block, parts)
+            yield rows_of(unit, parts)
 
     return send
 
 
 def _count(frame: pd.DataFrame) -> pd.DataFrame:
-    """Answers every block of one hash range with its hashes that an earlier block holds."""
-    frame = frame.sort_values("block", kind="stable")
+    """Answers every part of a block of one hash range with its hashes that an earlier block holds."""
+    frame = frame.sort_values(["block", "sub"], kind="stable")
     blocks = frame["block"].to_numpy()
     lists = [unpack_sorted(h) for h in frame["hashes"]]
     sizes = [len(x) for x in lists]
@@ -110,14 +112,15 @@ def _count(frame: pd.DataFrame) -> pd.DataFrame:
     owner = np.repeat(np.arange(len(lists), dtype=np.int32), sizes)
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
-    again = np.zeros(len(values), bool)
-    again[1:] = values[1:] == values[:-1]
+    head = np.concatenate(([True], values[1:] != values[:-1]))
+    first = blocks[owner[head]]  # owners are in order of their blocks
+    again = blocks[owner] > first[np.cumsum(head) - 1]
     values, owner = values[again], owner[again]
     order = np.argsort(owner, kind="stable")
     values, owner = values[order], owner[order]
     at = np.searchsorted(owner, np.arange(len(lists) + 1))
     full = [k for k in range(len(lists)) if at[k] < at[k + 1]]
-    return pd.DataFrame({"block": blocks[full].astype("int32"), "seen": [pack_sorted(values[at[k] : at[k + 1]]) for k in full]})
+    return pd.DataFrame({"block": blocks[full].astype("int32"), "sub": frame["sub"].to_numpy()[full].astype("int32"), "seen": [pack_sorted(values[at[k] : at[k + 1]]) for k in full]})
 
 
 def _remove(size: int, texts: bool):
@@ -155,26 +158,53 @@ def _remove(size: int, texts: bool):
     return remove
 
 
+def _cuts(block_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted places at which another block's worth of bytes is full; a place that fills several comes as often."""
+        held = 0
+        for batch in batches:
+            if batch.num_rows:
+                full = np.concatenate(([held], held + np.cumsum(batch.column("size").to_numpy(zero_copy_only=False)))) // block_bytes
+                held = int(held + batch.column("size").to_numpy(zero_copy_only=False).sum())
+                yield pa.RecordBatch.from_arrays([batch.column("place").filter(pa.array(full[1:] > full[:-1]))], names=["place"])
+
+    return run
+
+
+def _blocks(cuts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(edges, parts): block k holds the places above edge k - 1 up to edge k, in so many parts."""
+    places, times = np.unique(np.array(cuts, np.int64), return_counts=True)
+    hot = places[times > 1]
+    edges = np.unique(np.concatenate([places, hot - 1])) if len(hot) else places
+    parts = np.ones(len(edges) + 1, np.int32)
+    parts[np.searchsorted(edges, hot)] = times[times > 1] + 1
+    return edges, parts
+
+
 def substring_dedup(docs: DataFrame, window: int = WINDOW, texts: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept_text); ``texts=False`` leaves the last null."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = int(min(MOST_BLOCKS, max(1, -(-total // BLOCK_BYTES))))
-    ranges = int(max(1, -(-total // RANGE_BYTES)))
-    bounds = source.agg(F.percentile_approx("doc_id", [k / blocks for k in range(1, blocks)], 10 * blocks)).first()[0] if blocks > 1 else None
-    if bounds:
-        edges = F.array(*map(F.lit, sorted(set(bounds))))
-        block = F.coalesce(F.size(F.filter(edges, lambda b: b < F.col("doc_id"))), F.lit(len(set(bounds)))).cast("int")
-    else:
-        block = F.lit(0)
-    tasks = max(1, min(blocks, max(ranges, docs.sparkSession.sparkContext.defaultParallelism)))
-    dealt = source.select(F.coalesce("doc_id", F.lit(_LAST)).alias("place"), "text", block.alias("block")).repartition(tasks, "block")
+    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("place"), "text")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    sized = source.select("place", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    # one 8-byte id a block comes to the driver
+    found = sized.repartitionByRange(cores, "place").sortWithinPartitions("place").mapInArrow(_cuts(BLOCK_BYTES), "place long").collect()
+    edges, parts = _blocks([r.place for r in found])
+    ranges = max(1, len(found) * BLOCK_BYTES // RANGE_BYTES)
+
+    @F.pandas_udf("block int, parts int")
+    def block_of(place: pd.Series) -> pd.DataFrame:
+        at = np.searchsorted(edges, place.to_numpy())
+        return pd.DataFrame({"block": at.astype(np.int32), "parts": parts[at]})
+
+    tasks = max(1, min(len(parts), max(ranges, cores)))
+    placed = source.withColumn("b", block_of("place")).select("place", "text", F.col("b.block").alias("block"), F.pmod(F.xxhash64("text"), F.col("b.parts")).cast("int").alias("sub"))
+    dealt = placed.repartition(tasks, "block", "sub")
     # all columns, so that both uses have the same exchange
-    sent = dealt.sortWithinPartitions("block").mapInArrow(_send(window, ranges), "part int, block int, hashes binary")
-    seen = sent.groupBy("part").applyInPandas(_count, "block int, seen binary")
+    sent = dealt.sortWithinPartitions("block", "sub").mapInArrow(_send(window, ranges), "part int, block int, sub int, hashes binary")
+    seen = sent.groupBy("part").applyInPandas(_count, "block int, sub int, seen binary")
     return (
-        dealt.groupBy("block")
-        .cogroup(seen.groupBy("block"))
+        dealt.groupBy("block", "sub")
+        .cogroup(seen.groupBy("block", "sub"))
         .applyInPandas(_remove(window, texts), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
     )
 

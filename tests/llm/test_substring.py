@@ -51,6 +51,26 @@ def test_awkward_rows_and_empty_table(spark):
     assert sorted(r.n_removed for r in ss.substring_dedup(frame(spark, same)).collect()) == [0, 0, 40]
 
 
+def test_hot_and_missing_ids_are_dealt_in_parts(spark, monkeypatch):
+    """An id and a missing one that each fill many blocks: no row of theirs dedups another, those of smaller ids dedup all."""
+    monkeypatch.setattr(ss, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(ss, "RANGE_BYTES", 3000)
+    rng = random.Random(9)
+    line = lambda: " ".join(str(rng.randrange(10**6)) for _ in range(20))
+    known, shared = line(), line()
+    rows = [(k, line(), None, None, None) for k in range(40)] + [(3, known, None, None, None)]
+    rows += [(50, t, None, None, None) for t in [shared] * 30 + [known] * 10] + [(60 + k, line(), None, None, None) for k in range(20)]
+    rows += [(None, t, None, None, None) for t in [shared] * 30 + [line() for _ in range(30)]]
+    edges, parts = ss._blocks([r.place for r in spark.createDataFrame([(r[0] if r[0] is not None else ss._LAST, len(r[1])) for r in rows], "place long, size long").coalesce(1).sortWithinPartitions("place").mapInArrow(ss._cuts(700), "place long").collect()])
+    assert parts[np.searchsorted(edges, 50)] > 3 and parts[np.searchsorted(edges, ss._LAST)] > 3 and parts[0] == 1
+    got = {}
+    for r in ss.substring_dedup(frame(spark, rows)).collect():
+        got.setdefault((r.doc_id, r.kept_text == ""), []).append(r.n_removed)
+    assert got[50, True] == [20] * 10 and got[50, False] == [0] * 30  # copies of a smaller id's text; its own copies
+    assert got[None, True] == [20] * 30 and got[None, False] == [0] * 30
+    assert sum(map(len, got.values())) == len(rows) and all(v == [0] for (d, _), v in got.items() if d not in (3, 50, None))
+
+
 def test_packed_hashes_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 1000):
