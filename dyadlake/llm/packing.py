@@ -5,8 +5,8 @@ tier is cut off at once; the rest of a document goes to the smallest tier that
 holds it.  Each tier is packed from the longest down: a window opens with its
 own tier's document, its gap takes the longest whole rests that fit from the
 shorter tiers, and where none fits the longest rest is cut to size.  Windows
-are therefore full at their tier's length, a power of two, and only the last
-sequence of a partition (under the smallest tier) is padded.  Sequences are
+are therefore full at their tier's length, a power of two; what is left at the
+end of a partition is cut by its binary digits, so that no sequence is padded.  Sequences are
 dealt to step groups of equal token counts, longest first.
 
 Packing is local to a partition of the scan: no shuffle, no state beyond one
@@ -69,6 +69,9 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         spec = json.load(open(path, encoding="utf-8"))
+        step = spec["pre_tokenizer"] or {}
+        if spec["normalizer"] or step.get("type") != "ByteLevel" or step.get("add_prefix_space") or not step.get("use_regex", True) or spec["model"].get("dropout"):
+            raise ValueError(f"{path} splits or normalises in a way that is not known here")
         symbols = _byte_symbols()
         ranks = {bytes(map(symbols.__getitem__, token)): n for token, n in spec["model"]["vocab"].items()}
         self.special = {t["content"]: array("I", [t["id"]]).tobytes() for t in spec["added_tokens"]}
@@ -159,7 +162,7 @@ class Packer:
                 break
             windows.append((tier, self._fill(tier)))
         while last and self.held:
-            tier = next((t for t in reversed(self.tiers) if t <= self.held), self.top)
+            tier = min(self.top, 1 << self.held.bit_length() - 1)
             windows.append((tier, self._fill(tier)))
         for tier, window in sorted(windows, key=lambda w: -w[0]):
             self._emit(window, tier)

@@ -3,9 +3,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
-from dyadlake.llm.packing import VOCABULARY, Encoder, Packer, pack
+from dyadlake.llm.packing import VOCABULARY, Encoder, Packer, op7_packing, pack
 
 from helpers import AWKWARD, frame
 
@@ -71,3 +72,23 @@ def test_ids_are_the_librarys():
     texts += ["a b " * 60_000, "x" * 150_000, " " * 120_000 + "y", "ab\n  " * 50_000]
     for text in texts:
         assert encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:80]
+
+
+def test_no_sequence_of_many_short_partitions_is_padded(spark):
+    whole = Tokenizer.from_file(PATH)
+    rows = [tuple(r) for r in pack(frame(spark).repartition(7), PATH).collect()]
+    assert check_round_trip(rows, {d: [*whole.encode(t or "", add_special_tokens=False).ids, 1] for d, t, *_ in AWKWARD}) == 0
+
+
+def test_the_query_on_whole_documents(spark):
+    import pyarrow.parquet as pq
+
+    whole = Tokenizer.from_file(PATH)
+    docs = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()
+    rows = [tuple(r) for r in op7_packing(spark, "/root/testdata/sf0.001").collect()]
+    check_round_trip(rows, {d["doc_id"]: [*whole.encode(d["text"] or "", add_special_tokens=False).ids, 1] for d in docs})
+
+
+def test_other_vocabulary_files_are_refused():
+    with pytest.raises(ValueError):
+        Encoder(public_tokenizers.path("word_bpe_49k.json"))
