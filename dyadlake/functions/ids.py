@@ -15,16 +15,22 @@ def strip_file_suffix(c: str | Column) -> Column:
 
 
 def parse_monomer(c: str | Column) -> Column:
-    """struct(source, chain, uniprot, first, last, side)."""
+    """struct(source, chain, uniprot, first, last, side).
+
+    Sources of four characters are entries: ``source__chain_accession``.  Others
+    are models: ``source__accession`` without a chain, or
+    ``source__accession_first_last``, whose chain is A.
+    """
     full = strip_file_suffix(c)
     side = F.nullif(F.regexp_extract(full, "-([RL])$", 1), F.lit(""))
     body = strip_side(full)
     source = F.split_part(body, F.lit("__"), F.lit(1))
-    rest = F.split_part(body, F.lit("__"), F.lit(2))
-    tail = F.substring_index(rest, "_", -1)
-    span = lambda g: F.regexp_extract(tail, "^[A-Z0-9]+-?\\d*-(\\d+)-(\\d+)$", g).try_cast("int")
-    uniprot = F.regexp_replace(tail, "-\\d+-\\d+$", "")
-    return F.struct(source.alias("source"), F.split_part(rest, F.lit("_"), F.lit(1)).alias("chain"), uniprot.alias("uniprot"), span(1).alias("first"), span(2).alias("last"), side.alias("side"))
+    parts = F.split(F.split_part(body, F.lit("__"), F.lit(2)), "_")
+    entry, ranged = F.char_length(source) == 4, F.size(parts) == 3
+    chain = F.when(entry, F.get(parts, F.lit(0))).when(ranged, "A")
+    uniprot = F.when(entry, F.element_at(parts, -1)).otherwise(F.get(parts, F.lit(0)))
+    bound = lambda k: F.when(~entry & ranged, F.get(parts, F.lit(k)).try_cast("int"))
+    return F.struct(source.alias("source"), chain.alias("chain"), uniprot.alias("uniprot"), bound(1).alias("first"), bound(2).alias("last"), side.alias("side"))
 
 
 def parse_dimer(c: str | Column) -> Column:
@@ -56,10 +62,11 @@ def residue_label(c: str | Column) -> Column:
     return F.coalesce(c.try_cast("double").try_cast("int").cast("string"), c, F.lit(""))
 
 
-def natural_key(c: str | Column, width: int = 12) -> Column:
-    """Sort key in which digit runs order as numbers and letters without case."""
+def natural_key(c: str | Column) -> Column:
+    """Sort key in which digit runs order as numbers, of any length, and letters without case: each run has its length in front."""
     runs = F.regexp_extract_all(F.lower(c), F.lit("(\\d+|\\D+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike("^\\d"), F.lpad(r, width, "0")).otherwise(r)), "")
+    bare = lambda r: F.regexp_replace(r, "^0+(?=\\d)", "")
+    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike("^\\d"), F.concat(F.format_string("%010d", F.char_length(bare(r))), bare(r))).otherwise(r)), "")
 
 
 def last_number(c: str | Column) -> Column:

@@ -36,9 +36,10 @@ def capri_rank(label: Column) -> Column:
 
 
 def difficulty(irms: Column, fnonnat: Column) -> Column:
-    """Fixed bounds of the benchmark: 1.5 and 2.2 for the deviation, 0.4 for new contacts."""
-    rank = F.when(irms > 2.2, 2).when((irms > 1.5) | (fnonnat > 0.4), 1).otherwise(0)
-    return F.element_at(F.array(*map(F.lit, ("Rigid-body", "Medium", "Difficult"))), rank + 1)
+    """Benchmark class of an unbound pair: fixed bounds 1.5 and 2.2 of the interface deviation, 0.4 of new contacts; a missing deviation is difficult."""
+    rigid = (irms <= 1.5) & (fnonnat <= 0.4)
+    medium = ((irms > 1.5) & (irms <= 2.2)) | ((irms <= 1.5) & (fnonnat > 0.4))
+    return F.when(rigid, "Rigid-body").when(medium, "Medium").otherwise("Difficult")
 
 
 def contact_summary(bound: Column, unbound: Column) -> Column:

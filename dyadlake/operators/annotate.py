@@ -28,10 +28,13 @@ def route_types(df: DataFrame, column: str, exact: dict[str, list[str]], contain
 
 
 def cascade_match(left: DataFrame, right: DataFrame, keys: list[str], chain: str, take: list[str]) -> DataFrame:
-    """Match on the exact chain name, else on its first letter, else without case; ``matched_by`` says which."""
+    """Match on the exact chain name, else on its first letter, else without case; ``matched_by`` says which.
+
+    Of several rows with a name, the one of the smallest ``take`` values matches: rows of ``left`` never multiply.
+    """
     joined = F.concat_ws("\x1f", *keys, chain)
     forms = [joined, F.concat_ws("\x1f", *keys, F.substring(chain, 1, 1)), F.lower(joined)]
-    side = right.withColumn("__key", joined)
+    side = rel.keep_first(right.withColumn("__key", joined), ["__key"], take)
     lower = side.withColumn("__key", F.lower("__key"))
     lower = rel.keep_first(lower, ["__key"], [chain])
     both = side.select("__key", *take, F.lit(0).alias("__kind")).unionByName(lower.select("__key", *take, F.lit(1).alias("__kind")))

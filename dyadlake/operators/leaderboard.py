@@ -64,3 +64,73 @@ def summary(metrics: DataFrame, by: list[str], score: str, hit: Column) -> DataF
     """Median of best scores per group beside one hit rate over all rows."""
     overall = metrics.agg(F.round(F.avg(F.when(hit, 100.0).otherwise(0.0)), 6).alias("hit_rate"))
     return stats.medians(metrics, by, [score]).crossJoin(F.broadcast(overall))  # one row
+
+
+#: The best value of each measure: low deviations, high shares.
+BEST = {"irms": F.min, "lrms": F.min, "fnat": F.max, "dockq": F.max, "capri_rank": F.max}
+#: Hit tests on a system's best values.
+HITS = {
+    "irms_2a": lambda c: c("irms") <= 2,
+    "lrms_5a": lambda c: c("lrms") <= 5,
+    "fnat_08": lambda c: c("fnat") >= 0.8,
+    "acceptable": lambda c: c("capri_rank") >= 1,
+    "medium": lambda c: c("capri_rank") >= 2,
+    "high": lambda c: c("capri_rank") >= 3,
+}
+
+
+def full_board(metrics: DataFrame, method: list[str], system: str, rank: str, tie: list[str], tops: tuple[int, ...] = (1, 5), shares: tuple[float, ...] = (0.25, 0.5), digits: int = 6) -> DataFrame:
+    """One row a method: medians of every pose set's best values, and hit rates of the whole and the top sets.
+
+    Pose sets are the first k of a ranking, those up to a quantile of the ranks,
+    and all.  All of them are masks over one partitioning by system: one window,
+    one aggregate a system, one a method, and no join.
+    """
+    group = Window.partitionBy(*method, system)
+    numbered = metrics.withColumn("__p", F.row_number().over(group.orderBy(F.col(rank).asc_nulls_last(), *tie)))
+    numbered = numbered.withColumns({f"__q{k}": F.percentile(rank, q).over(group) for k, q in enumerate(shares)})
+    sets = {f"top{k}": F.col("__p") <= k for k in tops}
+    sets |= {f"first{round(100 * q)}": F.col(rank) <= F.col(f"__q{k}") for k, q in enumerate(shares)}
+    sets["oracle"] = F.lit(True)
+    best = numbered.groupBy(*method, system).agg(*[f(F.when(mask, F.col(c))).alias(f"{c}_{name}") for name, mask in sets.items() for c, f in BEST.items()])
+    medians = [F.round(F.median(f"{c}_{name}"), digits).alias(f"{c}_median_{name}") for name in sets for c in BEST if c != "capri_rank"]
+    hits = [
+        F.round(F.avg(F.when(test(lambda c: F.col(f"{c}_{name}")), 100.0).otherwise(0.0)), digits).alias(f"{label}_{name}")  # noqa: B023
+        for name in ("oracle", *(f"top{k}" for k in tops))
+        for label, test in HITS.items()
+    ]
+    return best.groupBy(*method).agg(F.count("*").alias("n_systems"), *medians, *hits)
+
+
+def with_missing(board: DataFrame, metrics: DataFrame, method: list[str], system: str, missing: Column) -> DataFrame:
+    """The board with the number of systems that a method has only a penalty for."""
+    gaps = metrics.groupBy(*method).agg(F.count_distinct(F.when(missing, F.col(system))).alias("missing_systems"))
+    return gaps.join(board, method, "left")
+
+
+def median_hit_share(metrics: DataFrame, by: list[str], hit: Column) -> DataFrame:
+    """One row: the median over groups of the share of their rows that hit."""
+    return metrics.groupBy(*by).agg(F.avg(F.when(hit, 1.0).otherwise(0.0)).alias("__share")).agg(F.round(F.median("__share"), 6).alias("median_hit_share"))
+
+
+def expected_counts(index: DataFrame, subsets: dict[str, Column], kinds: tuple[str, ...] = ("holo", "apo", "predicted"), key: str = "id") -> DataFrame:
+    """(subset, kind, n): systems of a subset that have both chains of a kind, from one pass."""
+    cells = F.array(*[F.when(c & F.col(f"{kind}_R") & F.col(f"{kind}_L"), F.struct(F.lit(label).alias("subset"), F.lit(kind).alias("kind"))) for label, c in subsets.items() for kind in kinds])
+    return index.select(key, F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("c")).groupBy("c.subset", "c.kind").agg(F.count_distinct(key).alias("n"))
+
+
+def spread_kinds(metrics: DataFrame, index: DataFrame, method: Column, eligible: dict[str, Column], out: str = "kind", key: str = "id") -> DataFrame:
+    """A method's rows once for every kind their system is eligible for; other methods as they are."""
+    kinds = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in eligible.items()]), lambda x: x.isNotNull())
+    spread = metrics.where(method).drop(out).join(index.select(key, F.explode(kinds).alias(out)), key)
+    return spread.select(*metrics.columns).unionByName(metrics.where(~method))
+
+
+def only_within(metrics: DataFrame, method: Column, inside: Column) -> DataFrame:
+    """Rows of some methods count only inside a subset."""
+    return metrics.where(~method | inside)
+
+
+def masked_and_raw(metrics: DataFrame, mask: str, names: tuple[str, str], out: str = "method_name") -> DataFrame:
+    """Both halves of a table under names of their own: (masked, raw)."""
+    return metrics.withColumn(out, F.when(F.col(mask), names[0]).otherwise(names[1]))

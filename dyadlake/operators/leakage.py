@@ -41,9 +41,17 @@ def diversity(df: DataFrame, group: Column, labels: list[str]) -> DataFrame:
 
 
 def shared_windows(docs: DataFrame, items: DataFrame, doc: str, item: str, text: str, words: int = 8) -> DataFrame:
-    """(doc, item, n_shared): word windows of the items' texts that occur in a document."""
-    cut = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"(\S+)"), F.lit(1))
-    windows = lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - words + 1)), lambda i: F.array_join(F.slice(w, i, words), " ")))
-    left = docs.select(doc, F.explode(windows(cut(text))).alias("window"))
-    right = items.select(item, F.explode(windows(cut(text))).alias("window"))
-    return left.join(right, "window").groupBy(doc, item).agg(F.count("*").alias("n_shared"))
+    """(doc, item, n_shared): word windows of the items' texts that occur in a document.
+
+    Words are split and hashed once a text, in a column of their own; windows are
+    compared by two 64-bit hashes, so no window's text is built or shuffled.
+    """
+
+    def windows(df: DataFrame, key: str) -> DataFrame:
+        split = df.select(key, F.regexp_extract_all(F.lower(text), F.lit(r"(\S+)"), F.lit(1)).alias("__w"))
+        hashed = split.select(key, F.transform("__w", lambda w: F.xxhash64(w)).alias("__a"), F.transform("__w", lambda w: F.xxhash64(F.lit(words), w)).alias("__b"))
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("__a") - words + 1))
+        spans = F.transform(starts, lambda i: F.struct(F.xxhash64(F.slice("__a", i, words)).alias("h1"), F.xxhash64(F.slice("__b", i, words)).alias("h2")))
+        return hashed.where(F.col("__a").isNotNull()).select(key, F.explode(spans).alias("__s")).select(key, "__s.h1", "__s.h2")
+
+    return windows(docs, doc).join(windows(items, item).distinct(), ["h1", "h2"]).groupBy(doc, item).agg(F.count_distinct("h1", "h2").alias("n_shared"))

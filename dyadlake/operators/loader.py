@@ -37,7 +37,8 @@ def condition(name: str, test: tuple[str, object]) -> Column:
         op = "==" if op == "is" else "!="
     if op not in _COMPARE:
         raise ValueError(f"{name}: unknown operator {op}")
-    return F.coalesce(_COMPARE[op](column, F.lit(value)) & ~empty, F.lit(op == "!="))
+    # a missing value differs from every value and is in no order with any
+    return F.when(empty, F.lit(op == "!=")).otherwise(_COMPARE[op](column, F.lit(value)))
 
 
 def where_fields(df: DataFrame, tests: dict[str, tuple[str, object]]) -> DataFrame:

@@ -51,8 +51,12 @@ def outer_fold(key: str, frames: list[DataFrame]) -> DataFrame:
 
 
 def fallback_join(left: DataFrame, right: DataFrame, right_key: str, left_keys: list[Column], take: list[str]) -> DataFrame:
-    """Match on the first of several keys that finds a row: one equi-join a key, first non-null wins."""
+    """Match on the first of several keys that finds a row: one equi-join a key, first non-null wins.
+
+    Of several rows with a key, the one of the smallest ``take`` values matches: rows of ``left`` never multiply.
+    """
     out = left
+    right = right.where(F.col(right_key).isNotNull()).groupBy(right_key).agg(F.min(F.struct(*take)).alias("__first")).select(right_key, "__first.*")
     for k, key in enumerate(left_keys):
         side = right.select(F.col(right_key).alias(f"__k{k}"), *[F.col(c).alias(f"__{c}{k}") for c in take])
         out = out.withColumn(f"__l{k}", key).join(side, F.col(f"__l{k}") == F.col(f"__k{k}"), "left")
@@ -99,7 +103,7 @@ def best_per_pair(df: DataFrame, a: str, b: str, score: str, tie: list[str]) ->
 def ordered_concat(df: DataFrame, by: list[str], value: str, order: list[str], sep: str = ";") -> DataFrame:
     """(by, first, others): a group's values in order, the first on its own."""
     items = F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order)], F.col(value).alias("v"))))
-    return df.groupBy(*by).agg(items.alias("__i")).select(*by, F.element_at("__i", 1)["v"].alias("first"), F.array_join(F.transform(F.slice("__i", 2, 1_000_000), lambda x: x["v"].cast("string")), sep).alias("others"))
+    return df.groupBy(*by).agg(items.alias("__i")).select(*by, F.element_at("__i", 1)["v"].alias("first"), F.array_join(F.transform(F.slice("__i", F.lit(2), F.greatest(F.size("__i") - 1, F.lit(0))), lambda x: x["v"].cast("string")), sep).alias("others"))
 
 
 def complete(actual: DataFrame, expected: DataFrame, keys: list[str], penalty: dict[str, object]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import stored
+
 
 def hit_rates(df: DataFrame, by: list[str], tests: dict[str, Column], digits: int = 6) -> DataFrame:
     """Percentage of a group's rows that pass each test."""
@@ -87,8 +89,11 @@ def threshold_sweep(df: DataFrame, column: str, hit: Column, start: float, step:
 
 
 def running_total(df: DataFrame, order: list[Column], value: str, out: str, parts: int = 64) -> DataFrame:
-    """Running sum over the whole table in two levels: range-partitioned sums, then sums within each part."""
-    dealt = df.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id())
+    """Running sum over the whole table in two levels: range-partitioned sums, then sums within each part.
+
+    The dealt rows are stored once: range bounds are sampled, so another reading could deal them otherwise.
+    """
+    dealt = stored(df.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id()), "running-total")
     offsets = dealt.groupBy("__p").agg(F.sum(value).alias("__s"))
     w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
     offsets = offsets.select("__p", F.coalesce(F.sum("__s").over(w), F.lit(0)).alias("__o"))

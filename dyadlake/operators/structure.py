@@ -74,16 +74,16 @@ def largest_variance(atoms: DataFrame, by: list[str]) -> DataFrame:
 
 
 def planarity(points: DataFrame, by: list[str]) -> DataFrame:
-    """(by, planarity): root mean square distance to the best plane, from the smallest eigenvalue."""
+    """(by, planarity): root mean square distance to the best plane, from the smallest eigenvalue; -1 below three points."""
     pairs = [(a, b) for k, a in enumerate("xyz") for b in "xyz"[k:]]
-    cov = points.groupBy(*by).agg(*[F.covar_pop(a, b).alias(a + b) for a, b in pairs])
+    cov = points.groupBy(*by).agg(F.count("*").alias("__n"), *[F.covar_pop(a, b).alias(a + b) for a, b in pairs])
 
     @F.pandas_udf("double")
     def root(xx: pd.Series, xy: pd.Series, xz: pd.Series, yy: pd.Series, yz: pd.Series, zz: pd.Series) -> pd.Series:
         m = np.stack([xx, xy, xz, xy, yy, yz, xz, yz, zz], axis=1).reshape(-1, 3, 3)
         return pd.Series(np.sqrt(np.maximum(np.linalg.eigvalsh(np.nan_to_num(m))[:, 0], 0)))
 
-    return cov.select(*by, root(*[a + b for a, b in pairs]).alias("planarity"))
+    return cov.withColumn("planarity", root(*[a + b for a, b in pairs])).select(*by, F.when(F.col("__n") < 3, -1.0).otherwise(F.col("planarity")).alias("planarity"))
 
 
 def fit(moving: np.ndarray, fixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,13 +95,13 @@ def fit(moving: np.ndarray, fixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def refined_fit(moving: np.ndarray, fixed: np.ndarray, rounds: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``fit`` without the points whose distance lies far above the quartiles; (turn, shift, mask)."""
+    """``fit`` without the points whose squared distance lies far above the quartiles; (turn, shift, mask)."""
     mask = np.ones(len(moving), bool)
     for _ in range(rounds):
         turn, shift = fit(moving[mask], fixed[mask])
-        d = np.linalg.norm(moving @ turn + shift - fixed, axis=1)
-        low, high = np.quantile(d[mask], [0.25, 0.75])
-        kept = mask & (d <= high + 1.5 * (high - low))
+        square = ((moving @ turn + shift - fixed) ** 2).sum(axis=1)
+        low, high = np.quantile(square[mask], [0.25, 0.75])
+        kept = mask & (square <= high + 1.5 * (high - low))
         if kept.sum() < 3 or (kept == mask).all():
             break
         mask = kept

@@ -68,12 +68,12 @@ def most_frequent(spark, d):
 
 @query(
     "neighbour_counts",
-    """WITH n AS (SELECT l_suppkey AS k, count(*) AS c FROM lineitem WHERE l_quantity > 40 GROUP BY l_suppkey)
+    """WITH n AS (SELECT l_suppkey AS k, count(*) AS c FROM lineitem GROUP BY l_suppkey)
 SELECT l_orderkey, l_linenumber, coalesce(a.c, 0) AS seen_R, coalesce(b.c, 0) AS seen_L FROM lineitem LEFT JOIN n a ON l_partkey = a.k LEFT JOIN n b ON l_suppkey = b.k""",
 )
 def neighbour_counts(spark, d):
     lines = t(spark, d, "lineitem")
-    seen = lines.where("l_quantity > 40").select(F.col("l_suppkey").alias("k"))
+    seen = lines.select(F.col("l_suppkey").alias("k"))
     return annotate.neighbour_counts(lines, "l_partkey", "l_suppkey", seen, "k", "seen").select("l_orderkey", "l_linenumber", "seen_R", "seen_L")
 
 
@@ -103,14 +103,14 @@ def apo_canonical(spark, d):
 
 @query(
     "monomer_overlap",
-    """WITH h AS (SELECT DISTINCT l_orderkey AS id, l_suppkey % 40 AS r FROM lineitem WHERE l_orderkey % 7 = 0), a AS (SELECT DISTINCT l_orderkey AS apo, l_suppkey % 40 AS r FROM lineitem WHERE l_orderkey % 7 = 1),
-n AS (SELECT id, count(*) AS n FROM h GROUP BY id) SELECT h.id, apo, count(*) AS shared, round(count(*) / max(n.n), 6) AS share FROM h JOIN a ON h.r = a.r AND a.apo = h.id + 1 JOIN n ON n.id = h.id GROUP BY h.id, apo""",
+    """WITH h AS (SELECT DISTINCT o_custkey AS cust, l_orderkey AS id, l_suppkey AS r FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+n AS (SELECT id, count(*) AS n FROM h GROUP BY id) SELECT h.id, a.id AS apo, count(*) AS shared, round(count(*) / max(n.n), 6) AS share FROM h JOIN h a ON h.cust = a.cust AND h.r = a.r AND h.id <> a.id JOIN n ON n.id = h.id GROUP BY h.id, a.id""",
 )
 def monomer_overlap(spark, d):
-    lines = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), (F.col("l_suppkey") % 40).alias("resi_uniprot"))
-    holo, apo = lines.where("id % 7 = 0"), lines.where("id % 7 = 1")
-    pairs = holo.select("id", (F.col("id") + 1).alias("apo")).distinct()
-    return pairing.monomer_overlap(holo, apo, pairs).withColumn("share", F.round("share", 6))
+    lines = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_suppkey").alias("resi_uniprot"))
+    orders = t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey")
+    pairs = orders.join(orders.withColumnRenamed("id", "apo"), "o_custkey").where("id <> apo").select("id", "apo")
+    return pairing.monomer_overlap(lines, lines, pairs).withColumn("share", F.round("share", 6))
 
 
 @query("hourly_counts", "SELECT time_bucket(INTERVAL '1 hour', ts) AS start, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS \"end\", event_type, count(*) AS n FROM events GROUP BY ALL")

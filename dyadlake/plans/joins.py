@@ -45,10 +45,10 @@ def star_merge_inner(spark, d):
 
 @query(
     "natural_left_chain",
-    """SELECT p_partkey, p_brand, l_orderkey, l_linenumber, s_name FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 45) ON p_partkey = l_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey""",
+    """SELECT p_partkey, p_brand, l_orderkey, l_linenumber, s_name FROM part LEFT JOIN lineitem ON p_partkey = l_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey""",
 )
 def natural_left_chain(spark, d):
-    lines = t(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber")
+    lines = t(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber")
     parts = rel.natural_join(t(spark, d, "part").select("p_partkey", "p_brand"), lines, "left")
     return rel.natural_join(parts, t(spark, d, "supplier").select("s_suppkey", "s_name"), "left").drop("s_suppkey")
 
@@ -149,13 +149,13 @@ def unique_label_counts(spark, d):
 
 @query(
     "diversity_ratio",
-    """WITH x AS (SELECT o_orderpriority AS grp, c_nationkey, s_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 49),
+    """WITH x AS (SELECT o_orderpriority AS grp, c_nationkey, s_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
 y AS (SELECT grp, c_nationkey AS label FROM x UNION SELECT grp, s_nationkey FROM x)
 SELECT grp, count(*) AS n_labels, (SELECT count(DISTINCT label) FROM y) AS n_all, round(100.0 * count(*) / (SELECT count(DISTINCT label) FROM y), 6) AS percent FROM y GROUP BY grp""",
 )
 def diversity_ratio(spark, d):
     x = (
-        t(spark, d, "lineitem").where("l_quantity > 49").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("s_suppkey"))
+        t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("s_suppkey"))
         .join(t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderpriority"), "o_orderkey")
         .join(t(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_custkey")
         .join(t(spark, d, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
@@ -211,17 +211,17 @@ def json_flatten(spark, d):
 
 @query(
     "id_parse",
-    """WITH x AS (SELECT l_orderkey, l_linenumber, 'o' || l_orderkey || '__' || l_returnflag || l_linenumber || '_P' || l_partkey || CASE WHEN l_linenumber % 2 = 0 THEN '-R' ELSE '-L' END AS id FROM lineitem)
+    """WITH x AS (SELECT l_orderkey, l_linenumber, lpad(CAST(l_linenumber AS VARCHAR), 4, 'e') || '__' || l_returnflag || l_linenumber || '_P' || l_partkey || CASE WHEN l_linenumber % 2 = 0 THEN '-R' ELSE '-L' END AS id FROM lineitem)
 SELECT l_orderkey, l_linenumber, regexp_extract(id, '^(.*)__', 1) AS source, regexp_extract(id, '__([^_]*)_', 1) AS chain, regexp_extract(id, '_(P[0-9]+)-', 1) AS uniprot, right(id, 1) AS side,
 regexp_replace(regexp_extract(id, '^(.*)__', 1) || '_' || regexp_extract(id, '__([^_]*)_', 1), '[0-9]+$', '') AS asym FROM x""",
 )
 def id_parse(spark, d):
-    made = F.concat(F.lit("o"), "l_orderkey", F.lit("__"), "l_returnflag", "l_linenumber", F.lit("_P"), "l_partkey", F.when(F.col("l_linenumber") % 2 == 0, "-R").otherwise("-L"))
+    made = F.concat(F.lpad(F.col("l_linenumber").cast("string"), 4, "e"), F.lit("__"), "l_returnflag", "l_linenumber", F.lit("_P"), "l_partkey", F.when(F.col("l_linenumber") % 2 == 0, "-R").otherwise("-L"))
     x = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", made.alias("id")).withColumn("m", ids.parse_monomer("id"))
     return x.select("l_orderkey", "l_linenumber", "m.source", "m.chain", "m.uniprot", "m.side", ids.asym_key("id").alias("asym"))
 
 
-@query("natural_sort_key", "SELECT c_custkey, 'customer#' || lpad(regexp_extract(c_name, '([0-9]+)$', 1), 12, '0') AS sort_key FROM customer")
+@query("natural_sort_key", "SELECT c_custkey, 'customer#' || lpad(CAST(len(x) AS VARCHAR), 10, '0') || x AS sort_key FROM (SELECT c_custkey, CAST(CAST(regexp_extract(c_name, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR) AS x FROM customer)")
 def natural_sort_key(spark, d):
     return t(spark, d, "customer").select("c_custkey", ids.natural_key("c_name").alias("sort_key"))
 

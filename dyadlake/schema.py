@@ -9,31 +9,89 @@ from pyspark.sql import types as T
 _DEFAULTS = {"string": "", "int": 0, "bigint": 0, "double": 0.0, "boolean": False}
 
 
-def _fields(kind: str, names: str) -> dict[str, str]:
-    return dict.fromkeys(names.split(), kind)
-
-
-#: Column names and types of the catalogue, in order of the file format's groups.
-INDEX = (
-    _fields("string", "split id pdb_id cluster_id cluster_id_R cluster_id_L")
-    | _fields("boolean", "pinder_s pinder_xl pinder_af2")
-    | _fields("string", "uniprot_R uniprot_L holo_R_pdb holo_L_pdb predicted_R_pdb predicted_L_pdb apo_R_pdb apo_L_pdb apo_R_pdbs apo_L_pdbs")
-    | _fields("boolean", "holo_R holo_L predicted_R predicted_L apo_R apo_L")
-    | _fields("string", "apo_R_quality apo_L_quality")
-    | _fields("double", "chain1_neff chain2_neff")
-    | _fields("string", "chain_R chain_L")
-    | _fields("boolean", "contains_antibody contains_antigen contains_enzyme")
-)
-ALIGNMENT = _fields("string", "query target") | _fields("double", "score") | _fields("int", "qstart qend qlen tstart tend tlen alnlen")
-RESIDUE_MAPPING = (
-    _fields("string", "entry_id") | _fields("int", "entity_id") | _fields("string", "asym_id pdb_strand_id") | _fields("int", "resi resi_pdb")
-    | _fields("string", "resi_auth resn one_letter_code_can") | _fields("int", "resolved") | _fields("string", "one_letter_code_uniprot")
-    | _fields("int", "resi_uniprot") | _fields("string", "uniprot_acc chain")
-)
-ATOMS = (
-    _fields("string", "chain_id res_name res_code") | _fields("int", "res_id") | _fields("string", "atom_name") | _fields("double", "b_factor")
-    | _fields("string", "ins_code") | _fields("boolean", "hetero") | _fields("string", "element") | _fields("double", "x y z")
-)
+#: Column names and types of the files, in the files' order.  The catalogue's flags of test subsets stand between its two parts.
+INDEX_HEAD = {
+    "split": "string",
+    "id": "string",
+    "pdb_id": "string",
+    "cluster_id": "string",
+    "cluster_id_R": "string",
+    "cluster_id_L": "string",
+}
+INDEX_TAIL = {
+    "uniprot_R": "string",
+    "uniprot_L": "string",
+    "holo_R_pdb": "string",
+    "holo_L_pdb": "string",
+    "predicted_R_pdb": "string",
+    "predicted_L_pdb": "string",
+    "apo_R_pdb": "string",
+    "apo_L_pdb": "string",
+    "apo_R_pdbs": "string",
+    "apo_L_pdbs": "string",
+    "holo_R": "boolean",
+    "holo_L": "boolean",
+    "predicted_R": "boolean",
+    "predicted_L": "boolean",
+    "apo_R": "boolean",
+    "apo_L": "boolean",
+    "apo_R_quality": "string",
+    "apo_L_quality": "string",
+    "chain1_neff": "double",
+    "chain2_neff": "double",
+    "chain_R": "string",
+    "chain_L": "string",
+    "contains_antibody": "boolean",
+    "contains_antigen": "boolean",
+    "contains_enzyme": "boolean",
+}
+ALIGNMENT = {
+    "query": "string",
+    "target": "string",
+    "score": "double",
+    "qstart": "int",
+    "qend": "int",
+    "qlen": "int",
+    "tstart": "int",
+    "tend": "int",
+    "tlen": "int",
+    "alnlen": "int",
+}
+RESIDUE_MAPPING = {
+    "entry_id": "string",
+    "entity_id": "int",
+    "asym_id": "string",
+    "pdb_strand_id": "string",
+    "resi": "int",
+    "resi_pdb": "int",
+    "resi_auth": "string",
+    "resn": "string",
+    "one_letter_code_can": "string",
+    "resolved": "int",
+    "one_letter_code_uniprot": "string",
+    "resi_uniprot": "int",
+    "uniprot_acc": "string",
+    "chain": "string",
+}
+ATOMS = {
+    "chain_id": "string",
+    "res_name": "string",
+    "res_code": "string",
+    "res_id": "int",
+    "atom_name": "string",
+    "b_factor": "double",
+    "ins_code": "string",
+    "hetero": "boolean",
+    "element": "string",
+    "x": "double",
+    "y": "double",
+    "z": "double",
+}
+
+
+def index_columns(subsets: tuple[str, ...]) -> dict[str, str]:
+    """The catalogue's columns, with one boolean a test subset as the caller's files name them."""
+    return INDEX_HEAD | dict.fromkeys(subsets, "boolean") | INDEX_TAIL
 
 
 def struct(columns: dict[str, str]) -> T.StructType:

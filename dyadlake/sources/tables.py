@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..schema import ALIGNMENT, struct
 
-#: Null tokens of delimited files; the chain id NA is not among them.
-NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NULL", "NaN", "None", "n/a", "nan", "null")
+#: Null tokens of delimited files; the chain id NA and the word None are not among them.
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NULL", "NaN", "n/a", "nan", "null")
 
 
 def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",", types: dict[str, str] | None = None) -> DataFrame:

@@ -2,7 +2,7 @@ import gzip
 
 from pyspark.sql import functions as F
 
-from dyadlake.schema import ALIGNMENT, INDEX, coerce
+from dyadlake.schema import ALIGNMENT, coerce, index_columns
 from dyadlake.sources import structures, tables
 
 PDB = """ATOM      1  N   ALA A   1      11.104   6.134  -6.504  1.00 10.50           N
@@ -66,8 +66,9 @@ def test_alignments_and_index_coercion(spark, tmp_path):
     (tmp_path / "a.txt").write_text("q1\tt1\t0.9\t1\t5\t10\t2\t6\t12\t5\nq2\tt2\tnan\t1\t5\t10\t2\t6\t12\t5\n")
     got = tables.read_alignments(spark, str(tmp_path / "a.txt"))
     assert got.columns == list(ALIGNMENT) and sorted(r.score for r in got.collect()) == [0.5, 0.9]
-    fixed = coerce(spark.createDataFrame([("a", "x", "7")], "id string, chain1_neff string, extra string"), INDEX)
-    assert fixed.columns == list(INDEX) and len(INDEX) == 34
+    index = index_columns(("small", "large", "modelled"))
+    fixed = coerce(spark.createDataFrame([("a", "x", "7")], "id string, chain1_neff string, extra string"), index)
+    assert fixed.columns == list(index) and len(index) == 34
     assert fixed.first().chain1_neff == 0.0 and fixed.first().holo_R is False and fixed.first().split == ""
 
 
