@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import annotations, assembly, graphs, joins, rankings  # noqa: F401  (their queries register themselves)
+from . import annotations, assembly, control, graphs, joins, rankings  # noqa: F401  (their queries register themselves)
 from .catalog import ORACLES, QUERIES
 
 
