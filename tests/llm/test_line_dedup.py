@@ -1,6 +1,8 @@
 import random
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from dyadlake.llm import line_dedup as ld
 from dyadlake.llm.components import components
 from dyadlake.llm.store import Scratch, materialize
@@ -122,6 +124,35 @@ def test_inner_members_meet_in_blocks(spark, monkeypatch):
         assert got == {**dict.fromkeys(range(1, 5), 1), **dict.fromkeys(range(5, 9), 5)}
 
 
+def test_texts_travel_for_near_pairs_only(spark, monkeypatch):
+    """Lines that share a bucket and little else are told apart by size and sketch."""
+    rng = random.Random(11)
+    near = "".join(rng.choice("abcdefghijklmnop") for _ in range(300))
+    other = ["".join(rng.choice("abcdefghijklmnop") for _ in range(300)) for _ in range(30)]
+    texts = dict(enumerate([*other, near, near[:150] + "!" + near[151:], near[:-1]]))
+    members = spark.createDataFrame([(7, n, 0, len(texts) - 1, len(texts)) for n in texts], "key long, node long, low long, high long, n long")
+    asked, verified = [], ld._verified
+    monkeypatch.setattr(ld, "_verified", lambda pairs, *rest: (asked.extend((r.a, r.b) for r in pairs.collect()), verified(pairs, *rest))[1])
+    with Scratch() as s:
+        links = ld.confirmed(members, spark.createDataFrame([(n, t, len(shingles(t))) for n, t in texts.items()], "node long, norm string, n int"), 85, s)
+        assert {(r.a, r.b) for r in links.collect()} == {(30, 32), (31, 32)}
+    assert set(asked) == {(30, 32), (31, 32)}  # all members with the ends 0 and 32: 63 pairs
+
+
+def test_keys_are_shuffled_once(spark):
+    signed = ld.signatures(spark.createDataFrame(corpus(seed=3), DOCS))
+    buckets = ld._buckets(signed)
+    buckets.collect()
+    plan = buckets._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len({x.split("plan_id=")[1] for x in plan.splitlines() if "Exchange hashpartitioning(key" in x and "Reused" not in x}) == 1
+
+
+def test_shingles_are_runs_of_code_points(spark):
+    lines = ["abcdefgh", "abc", "", "\U0001f600\U0001f600é漢字abcdefgh", "aaaaaaaaaaaa"]
+    got = spark.createDataFrame([(x,) for x in lines], "norm string").select("norm", F.array_distinct(ld._hashes(F.col("norm"))).alias("h")).collect()
+    assert [len(r.h) for r in got] == [len(shingles(x)) for x in lines]
+
+
 def test_leaves_no_tables_behind(spark, tmp_path):
     spark.createDataFrame(corpus(seed=9), DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
