@@ -41,18 +41,27 @@ def flagged(index: DataFrame, leaks: DataFrame, flags: dict[str, Column], key: s
     return index.join(seen, key, "left").fillna(False, list(flags))
 
 
+def aligned_pairs(hits: DataFrame, known: DataFrame, within: tuple[str, ...] = ("entry",)) -> DataFrame:
+    """(*within, r, l, hit_r, hit_l, score_r, score_l): chains whose hits share ``within`` and are a known pair.
+
+    ``hits`` is (chain, hit, score) and the columns of ``within``, ``known``
+    (first, second), chains in either order.  Hits meet on ``within`` alone, so
+    rows follow the hits of an entry, however many hits a chain has.
+    """
+    on = list(within)
+    side = lambda c: hits.select(*on, F.col("chain").alias(c), F.col("hit").alias(f"hit_{c}"), F.col("score").alias(f"score_{c}"))
+    met = side("r").join(side("l"), on).withColumns({"lo": F.least("hit_r", "hit_l"), "hi": F.greatest("hit_r", "hit_l")})
+    pairs = known.select(F.least("first", "second").alias("lo"), F.greatest("first", "second").alias("hi")).distinct()
+    return met.join(pairs, ["lo", "hi"], "left_semi").drop("lo", "hi")
+
+
 def dual_alignments(systems: DataFrame, hits: DataFrame, known: DataFrame) -> DataFrame:
     """(id, entry, hit_r, hit_l, score_r, score_l): known systems both of whose chains align with a system's.
 
     ``systems`` is (id, r, l), ``hits`` (chain, entry, hit, score), ``known``
-    (first, second), chains in either order.  The hits of both chains meet on
-    the entry, and the pair is looked up at once.
+    (first, second), chains in either order.
     """
-    side = lambda c, n: hits.select(F.col("chain").alias(c), "entry", F.col("hit").alias(f"hit_{n}"), F.col("score").alias(f"score_{n}"))
-    met = systems.join(side("r", "r"), "r").join(side("l", "l"), ["l", "entry"])
-    pairs = known.select(F.least("first", "second").alias("lo"), F.greatest("first", "second").alias("hi")).distinct()
-    keyed = met.withColumns({"lo": F.least("hit_r", "hit_l"), "hi": F.greatest("hit_r", "hit_l")})
-    return keyed.join(pairs, ["lo", "hi"], "left_semi").select("id", "entry", "hit_r", "hit_l", "score_r", "score_l")
+    return aligned_pairs(hits, known).join(systems, ["r", "l"]).select("id", "entry", "hit_r", "hit_l", "score_r", "score_l")
 
 
 def proto_table(test: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from dyadlake.operators import qc
+from dyadlake.plans import control
 
 
 def test_interfaces_of_systems(spark):
@@ -34,6 +35,22 @@ def test_clans_and_displays(spark):
     assert [r.id for r in qc.proto_table(test, index, ["pdb_id", "chain_R"]).collect()] == ["k", "i"]
 
 
+def test_dual_alignments_follow_the_entries(spark):
+    """Chains with many hits meet where an entry has both, and rows before that follow the entries."""
+    n = 3000
+    hits = spark.range(2 * n).selectExpr("id % 2 AS chain", "id AS entry", "id AS hit", "1.0 AS score").unionByName(spark.createDataFrame([(0, -1, 7, 1.0), (1, -1, 8, 0.5), (1, -2, 7, 0.5)], "chain long, entry long, hit long, score double"))
+    systems, known = spark.createDataFrame([("a", 0, 1), ("b", 0, 0)], "id string, r long, l long"), spark.createDataFrame([(8, 7)], "first long, second long")
+    got = qc.dual_alignments(systems, hits, known)
+    assert [tuple(r) for r in got.collect()] == [("a", -1, 7, 8, 1.0, 0.5)]
+    assert sorted((r.r, r.l, r.entry) for r in qc.aligned_pairs(hits, known).collect()) == [(0, 1, -1), (1, 0, -1)]
+
+
+def test_suppliers_named_twice_are_one_system(spark, tmp_path):
+    spark.createDataFrame([(1, 5), (2, 5), (1, 5), (2, 6), (1, 6)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(9, 1, 30, "R"), (9, 2, 20, "R"), (8, 1, 20, "N"), (8, 2, 40, "N")], "l_orderkey long, l_suppkey long, l_partkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [tuple(r) for r in control.dual_alignments(spark, str(tmp_path)).collect()] == [("1-2", 9, 30, 20)]
+
+
 def test_nested_entries_become_tables(spark):
     schema = (
         "pdb_id string, polymer_entities array<struct<identifiers:map<string,string>, pfams:array<struct<rcsb_pfam_accession:string,rcsb_pfam_description:string>>,"
