@@ -60,7 +60,8 @@ def _rows(docs: DataFrame) -> DataFrame:
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc, name, line_no, n1, n2, norm) of every line that is not blank; two hashes name a normal form."""
     split = _rows(docs).select("doc", "name", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    named = split.select("doc", "name", "line_no", _norm(F.col("line")).alias("norm")).where(F.col("norm").rlike(r"[^\x20\x09-\x0D]"))
+    filled = split.where(F.btrim("line", F.lit(" \t\n\x0b\x0c\r")) != "")
+    named = filled.select("doc", "name", "line_no", _norm(F.col("line")).alias("norm"))
     return named.select("doc", "name", "line_no", F.xxhash64("norm").alias("n1"), F.xxhash64(F.lit(SHINGLE), "norm").alias("n2"), "norm")
 
 
@@ -71,11 +72,27 @@ def _hashes(norm: Column) -> Column:
     return F.flatten(F.transform(F.array(F.encode(norm, "UTF-32")), every))
 
 
-def _arcs(ring: Column, points: Column) -> Column:
-    """The hashes that follow each point on a sorted ring, repeats among them taken out."""
+def _around(ring: Column, at: Column, points: Column) -> Column:
+    """The distinct hashes among those that follow a place on a sorted ring."""
     reach = ROWS + BANDS  # the rows after a point, with all points between
-    round_ = F.concat(ring, F.slice(ring, 1, reach))
-    return F.array(*[F.array_except(F.slice(round_, F.array_position(ring, p).cast("int") + 1, reach), points) for p in _POINTS])
+    return F.array_except(F.slice(F.concat(ring, F.slice(ring, 1, reach)), at + 1, reach), points)
+
+
+def _key(k: int, points: Column) -> Column:
+    """Band k of a ring whose points lie at (at0, at1, ...), from the least work that shows ``ROWS`` distinct hashes."""
+    ring, at = F.col("ring"), F.col(f"at{k}")
+    stop = F.col(f"at{k + 1}") - 1 if k + 1 < BANDS else F.size("ring")  # where the next point is
+    band = lambda hashes: F.xxhash64(F.lit(k), F.slice(hashes, 1, ROWS))
+    # no repeat and no point among the next hashes; a hash of columns is that of their array
+    run = [F.get(ring, at + j) for j in range(ROWS)]
+    plain = stop - at >= ROWS
+    for x, y in zip(run, run[1:]):
+        plain &= x < y
+    arc = F.array_distinct(F.slice(ring, at + 1, F.least(F.lit(ROWS + BANDS), stop - at)))
+    around = _around(ring, at, points)
+    # repeats fill an arc in few lines: those take the ring of distinct hashes
+    spread = F.transform(F.array(F.array_distinct(ring)), lambda d: band(_around(d, F.array_position(d, F.lit(_POINTS[k])).cast("int"), points)))[0]
+    return F.when(plain, F.xxhash64(F.lit(k), *run)).when(F.size(arc) >= ROWS, band(arc)).when(F.size(around) >= ROWS, band(around)).otherwise(spread)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -83,13 +100,9 @@ def signatures(docs: DataFrame) -> DataFrame:
     names = ["doc", "name", "line_no", "n1", "n2"]
     points = F.array(*map(F.lit, _POINTS))
     ring = _lines(docs).select(*names, F.sort_array(F.concat(_hashes(F.col("norm")), points)).alias("ring"))
-    arcs = ring.select(*names, "ring", _arcs(F.col("ring"), points).alias("arcs"))
-    # repeats fill an arc in few lines: those take the ring of distinct hashes
-    few = F.exists("arcs", lambda a: F.size(a) < ROWS)
-    whole = arcs.select(*names, F.when(few, _arcs(F.array_distinct("ring"), points)).otherwise(F.col("arcs")).alias("arcs"))
+    at = ring.select(*names, "ring", *[F.array_position("ring", F.lit(p)).cast("int").alias(f"at{k}") for k, p in enumerate(_POINTS)])
     # a band's number is in its key
-    keys = [F.xxhash64(F.lit(k), F.slice(F.col("arcs")[k], 1, ROWS)) for k in range(BANDS)]
-    return whole.select(*names, F.array(*keys).alias("keys"))
+    return at.select(*names, F.array(*[_key(k, points) for k in range(BANDS)]).alias("keys"))
 
 
 def _buckets(signed: DataFrame) -> DataFrame:
@@ -98,7 +111,7 @@ def _buckets(signed: DataFrame) -> DataFrame:
     nodes = signed.groupBy(F.col("n1").alias("node")).agg(*[F.min(F.col("keys")[k]).alias(f"k{k}") for k in range(BANDS)])
     keyed = nodes.select("node", F.explode(F.array(*[f"k{k}" for k in range(BANDS)])).alias("key")).repartition("key")
     ends = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low < high")
-    return keyed.join(ends, "key")  # both sides read one shuffle
+    return keyed.join(ends.hint("shuffle_hash"), "key")  # both sides read one shuffle; the rows, mostly of keys that one node has, are not sorted
 
 
 def _sized(x: Column, y: Column, similarity: int) -> Column:
@@ -113,7 +126,7 @@ def _alike(x: Column, y: Column, n_x: Column, n_y: Column, similarity: int) -> C
 
 def line_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, norm) of wanted nodes."""
-    return lines.select(F.col("n1").alias("node"), "norm").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    return lines.select(F.col("n1").alias("node"), "norm").join(wanted.hint("shuffle_hash"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def _sketches(texts: DataFrame) -> DataFrame:
@@ -170,13 +183,13 @@ def _inner_links(members: DataFrame, texts: DataFrame, sketches: DataFrame, root
     known = texts.select("node", "norm").join(sketches, "node")
     rows = dealt.join(keys, "node").join(known, "node").select(*unit, "side", "node", "root", "keys", "norm", "n", "sketch").repartition(*unit)
     names = {"node": "{}", "root": "root_{}", "side": "side_{}", "keys": "keys_{}", "n": "n_{}", "sketch": "sketch_{}"}
-    side = lambda c: rows.select(*unit, *[F.col(x).alias(y.format(c)) for x, y in names.items()], F.array_distinct(_hashes(F.col("norm"))).alias(f"set_{c}"))
-    apart = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near(similarity)
+    side = lambda c: rows.select(*unit, *[F.col(x).alias(y.format(c)) for x, y in names.items()], _hashes(F.col("norm")).alias(f"set_{c}"))
+    apart = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
     # members of one block meet with the first other block alone
     once = (F.col("side_a") != F.col("side_b")) | (F.col("hi") == 0) | ((F.col("lo") == 0) & (F.col("hi") == F.greatest(F.col("side_a"), F.lit(1))))
     first = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
     alike = _alike(F.col("set_a"), F.col("set_b"), F.col("n_a"), F.col("n_b"), similarity)
-    return side("a").join(side("b"), unit).where(apart & once & first & alike).select("a", "b").distinct()
+    return side("a").join(side("b"), unit).where(apart & once & _near(similarity) & first & alike).select("a", "b").distinct()
 
 
 def confirmed(members: DataFrame, texts: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
@@ -197,7 +210,7 @@ def duplicate_lines(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         texts = s.store(line_texts(_lines(docs), wanted), "line-texts")
         roots = s.own(components(confirmed(members, texts, similarity, s), "a", "b"))
         # a group is a component, or the copies of a line that is in none
-        grouped = signed.select("doc", "name", "line_no", "n1", "n2").join(roots, signed["n1"] == roots["node"], "left")
+        grouped = signed.select("doc", "name", "line_no", "n1", "n2").join(roots.hint("shuffle_hash"), signed["n1"] == roots["node"], "left")
         grouped = grouped.select(F.coalesce("root", "n1").alias("line"), F.when(F.col("root").isNull(), F.col("n2")).otherwise(0).alias("n2"), F.struct("doc", "line_no", "name").alias("at"))
         grouped = s.store(grouped, "line-groups")
         firsts = grouped.groupBy("line", "n2").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")

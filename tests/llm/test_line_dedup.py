@@ -147,6 +147,31 @@ def test_keys_are_shuffled_once(spark):
     assert len({x.split("plan_id=")[1] for x in plan.splitlines() if "Exchange hashpartitioning(key" in x and "Reused" not in x}) == 1
 
 
+def test_rows_of_lone_keys_are_not_sorted(spark):
+    buckets = ld._buckets(ld.signatures(spark.createDataFrame(corpus(seed=3), DOCS)))
+    assert buckets.collect()
+    plan = buckets._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_bands_are_the_distinct_hashes_after_a_point(spark):
+    """Plain runs, runs with repeats, runs over other points and lines of few shingles, against the definition."""
+    rng = random.Random(17)
+    lines = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (3, 5, 8, 11, 20, 40, 90, 300, 1500)]
+    lines += [x[:40] * 6 for x in lines[5:]] + ["ab" * 300, "漢字" * 9 + lines[6]]
+    docs = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
+    hashes = spark.createDataFrame(list(enumerate(lines)), "line_no int, norm string").select("line_no", ld._hashes(F.col("norm")).alias("h"))
+    bands = []
+    for r in hashes.collect():
+        ring = sorted(set(r.h))
+        for k, p in enumerate(ld._POINTS):
+            after = [h for h in ring if h > p] + [h for h in ring if h < p]
+            bands.append((r.line_no, k, after[: ld.ROWS]))
+    want = spark.createDataFrame(bands, "line_no int, k int, band array<long>").select("line_no", "k", F.xxhash64("k", "band").alias("key"))
+    got = {(r.line_no, k): x for r in ld.signatures(docs).collect() for k, x in enumerate(r["keys"])}
+    assert got == {(r.line_no, r.k): r.key for r in want.collect()}
+
+
 def test_shingles_are_runs_of_code_points(spark):
     lines = ["abcdefgh", "abc", "", "\U0001f600\U0001f600é漢字abcdefgh", "aaaaaaaaaaaa"]
     got = spark.createDataFrame([(x,) for x in lines], "norm string").select("norm", F.array_distinct(ld._hashes(F.col("norm"))).alias("h")).collect()
